@@ -36,7 +36,12 @@ class Query:
             return None
         parts = with_parts(self.needs)
         head = ",\n".join(f"{name} as ({text})" for name, text in parts)
-        return f"with {head}\n{self.sql}" if parts else self.sql
+        text = self.sql.strip()
+        if not parts:
+            return text
+        if text.startswith("with "):
+            return f"with {head},\n{text[len('with '):]}"
+        return f"with {head}\n{text}"
 
 
 def with_parts(needs) -> list[tuple[str, str]]:
@@ -73,5 +78,5 @@ def query(name: str, sql: str | None = None, needs: tuple[str, ...] | list[str]
 
 
 def rounded(expr: str, places: int) -> str:
-    """Half-up rounding on decimals, the way the Spark side rounds doubles."""
-    return f"cast(round(cast({expr} as decimal(38, 14)), {places}) as double)"
+    """Half-up rounding of a double's shortest decimal text, the way Spark rounds doubles."""
+    return f"cast(round(cast(cast({expr} as varchar) as decimal(38, 18)), {places}) as double)"

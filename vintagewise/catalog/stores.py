@@ -12,7 +12,7 @@ from ..schemas import AGE_BANDS, HISTORY_BANDS, LABEL_MOB, UTILIZATION_BANDS
 from ..sources import raw, store
 from . import checks  # noqa: F401  registers the derived tables
 from . import layers
-from .registry import query
+from .registry import query, rounded
 
 
 @query("snapshot_extract", needs=["raw_loans"], sql="""
@@ -225,8 +225,7 @@ def _(t):
 
 @query("list_diversity", needs=["joined_sources"], sql=f"""
     select loan_id,
-           cast(round(cast(Monthly_Inhand_Salary - Total_EMI_per_month - Scheduled_Installment_Amt as decimal(38, 9)), 2)
-                as double) as Post_EMI_Slack,
+           {rounded('Monthly_Inhand_Salary - Total_EMI_per_month - Scheduled_Installment_Amt', 2)} as Post_EMI_Slack,
            case when Type_of_Loan = 'No Loan' then 0
                 when Type_of_Loan is not null then
                 cast(len(list_distinct(list_filter(list_transform(string_split(replace(Type_of_Loan, ' and ', ''), ','),

@@ -150,18 +150,26 @@ def models(d: Dialect) -> str:
     return rows
 
 
-def predictions(d: Dialect) -> str:
-    """A score per loan and model from the training date on; some scores are no probabilities."""
+def model_scores(d: Dialect) -> str:
+    """A score per loan and model, from the cohorts whose labels closed the training onwards; some scores are
+    no probabilities."""
+    trained = "cast(replace(substr(model, 14), '_', '-') as date)"
     return f"""
       select concat(cast(o_orderkey as string), '_', {CUSTOMER.format('o_custkey')}, '_',
                     replace(cast({MONTH.format('o_orderdate')} as string), '-', '_')) as loan_id,
              {CUSTOMER.format('o_custkey')} as Customer_ID, {MONTH.format('o_orderdate')} as snapshot_date,
-             model as model_name,
+             model as model_name, {trained} as train_date,
              case when o_orderkey % 101 = 0 then null when o_orderkey % 103 = 0 then {d.nan}
                   when o_orderkey % 107 = 0 then 1.5e0
                   else ((o_orderkey * 7919 + model_no * 131) % 750 + 25 * (o_orderkey % 9)) / 1000e0 end as model_predictions
-      from orders join models
-        on {MONTH.format('o_orderdate')} >= cast(concat(replace(substr(model, 14), '_', '-')) as date)"""
+      from orders join models on {MONTH.format('o_orderdate')} >= {d.add_months(trained, '-8')}"""
+
+
+def predictions(d: Dialect) -> str:
+    """Scores of loans that started at or after the training date."""
+    return """
+      select loan_id, Customer_ID, snapshot_date, model_name, model_predictions
+      from model_scores where snapshot_date >= train_date"""
 
 
 def drift_runs(d: Dialect) -> str:
@@ -181,7 +189,8 @@ VIEWS = {
     "raw_attributes": (raw_attributes, ["customer_months", "customer"]),
     "raw_clicks": (raw_clicks, ["events"]),
     "models": (models, []),
-    "predictions": (predictions, ["orders", "models"]),
+    "model_scores": (model_scores, ["orders", "models"]),
+    "predictions": (predictions, ["model_scores"]),
     "drift_runs": (drift_runs, ["events"]),
 }
 
