@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import date_lit
 from ..functions.clean import valid_score
-from ..operators import distribution, drift, ordering, profile
+from ..operators import drift, profile
 from . import layers
 from .registry import derived, query
 
@@ -62,11 +62,9 @@ def _(t):
     lines, k = t("lineitem"), len(NUMBERS)
     old = profile.long_numbers(lines.where(F.col("l_shipdate") < date_lit(SPLIT)), NUMBERS)
     new = profile.long_numbers(lines.where(F.col("l_shipdate") >= date_lit(SPLIT)), NUMBERS)
-    old_counts = ordering.value_counts(old, "value", ["feature"])
-    edges = distribution.quantile_edges(old_counts, ["feature"], groups=k)
-    expected = distribution.bin_shares(old_counts, edges, ["feature"], ["feature"], groups=k)
-    actual = distribution.bin_shares(ordering.value_counts(new, "value", ["feature"]), edges, ["feature"], ["feature"], groups=k)
-    return drift.psi_of_shares(expected, actual, ["bin"], ["feature"]).withColumn("psi", F.round("psi", 9))
+    reference = drift.score_reference(old, ["feature"], groups=k)
+    totals = drift.score_shares(new, reference, ["feature"], ["feature"], k)
+    return drift.score_psi(totals, ["feature"]).withColumn("psi", F.round("psi", 9))
 
 
 @query("psi_categorical", needs=[], sql=f"""
@@ -232,10 +230,7 @@ def oot_scores(t):
 
 
 def score_reference(t):
-    counts = ordering.value_counts(oot_scores(t), "value", ["model_name"])
-    edges = distribution.quantile_edges(counts, ["model_name"], groups=MODEL_COUNT)
-    bins = distribution.bin_shares(counts, edges, ["model_name"], ["model_name"], groups=MODEL_COUNT)
-    return edges.join(drift.pct_array(bins, ["model_name"]), "model_name").drop("points")
+    return drift.score_reference(oot_scores(t), ["model_name"], groups=MODEL_COUNT)
 
 
 def _score_shares(t, reference):
@@ -247,8 +242,7 @@ def _score_shares(t, reference):
     select m.model_name, m.snapshot_date, round({PSI_SUM.format(a='m.share', e='o.share')}, 9) as psi
     from month_bins m join oot_bins o using (model_name, bin) group by 1, 2""")
 def _(t):
-    reference = score_reference(t)
-    out = drift.score_psi(_score_shares(t, reference), reference, ["model_name", "snapshot_date"], ["model_name"])
+    out = drift.score_psi(_score_shares(t, score_reference(t)), ["model_name", "snapshot_date"])
     return out.withColumn("psi", F.round("psi", 9))
 
 

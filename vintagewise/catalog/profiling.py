@@ -134,7 +134,8 @@ def _(t):
 def _(t):
     counts = _line_counts(t)
     edges = distribution.quantile_edges(counts, ["feature"], groups=len(LINE_NUMBERS))
-    out = distribution.bin_shares(counts, edges, ["feature"], ["feature"], groups=len(LINE_NUMBERS))
+    totals = distribution.bin_totals(counts, edges, ["feature"], ["feature"], groups=len(LINE_NUMBERS))
+    out = distribution.bin_shares(totals, ["feature"])
     return out.withColumns({"bin_low": F.round("bin_low", 6), "bin_high": F.round("bin_high", 6)})
 
 

@@ -43,10 +43,13 @@ def running_counts(counts: DataFrame, value: str, weights: Sequence[str], by: Se
     here = F.col(value)
     marked = marked.withColumn("_range", F.size(F.filter("_group.cuts", lambda cut: cut <= here)))
 
-    below = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    totals = marked.groupBy(*by, "_range").agg(*[F.sum(w).alias(f"_sum_{w}") for w in weights])
+    # a range starts at the group's total less everything from it upwards; both branches of the plan then
+    # need the same columns of `counts`, so its shuffle is done once and reused
+    upwards = Window.partitionBy(*by).orderBy("_range").rowsBetween(0, Window.unboundedFollowing)
+    totals = marked.groupBy(*by, "_range").agg(
+        *[F.sum(w).alias(f"_sum_{w}") for w in weights], *[F.max(f"_group.{w}").alias(f"_all_{w}") for w in weights])
     shifts = totals.select(
-        *by, "_range", *[F.coalesce(F.sum(f"_sum_{w}").over(below), F.lit(0)).alias(f"_shift_{w}") for w in weights]
+        *by, "_range", *[(F.col(f"_all_{w}") - F.sum(f"_sum_{w}").over(upwards)).alias(f"_shift_{w}") for w in weights]
     )
     inside = Window.partitionBy(*by, "_range").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     ranked = marked.withColumns({f"_in_{w}": F.coalesce(F.sum(w).over(inside), F.lit(0)) for w in weights})
