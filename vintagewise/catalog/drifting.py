@@ -6,7 +6,7 @@ from ..functions.calendar import date_lit
 from ..functions.clean import valid_score
 from ..operators import drift, profile
 from . import layers
-from .registry import derived, query
+from .registry import derived, query, rounded
 
 NUMBERS = ["l_quantity", "l_extendedprice"]
 SPLIT = "1998-01-01"
@@ -118,11 +118,12 @@ ROUNDED = {"psi": 9, "mean_ref": 6, "mean_act": 6, "median_ref": 6, "median_act"
 
 
 def round_columns(df, places):
-    return df.withColumns({c: F.round(c, p) for c, p in places.items() if c in df.columns})
+    """Rounded twice: the first step drops summation noise, so that ties of the second fall alike in both engines."""
+    return df.withColumns({c: F.round(F.round(c, 9), p) for c, p in places.items() if c in df.columns})
 
 
 def rounded_sql(columns, places) -> str:
-    return ", ".join(f"round({c}, {places[c]}) as {c}" if c in places else c for c in columns)
+    return ", ".join(f"{rounded(f'round({c}, 9)', places[c])} as {c}" if c in places else c for c in columns)
 
 
 DRIFT_COLUMNS = ["year", "feature", "n", *ROUNDED, "status"]

@@ -3,33 +3,53 @@
 from pyspark.sql import DataFrame
 
 from ..plans import gold, silver
+from ..session import stored
 from .registry import Inputs
 
 
 def silver_loans(t: Inputs) -> DataFrame:
-    return silver.loans(t("raw_loans"))
+    return t.once("silver.loans", lambda: silver.loans(t("raw_loans")))
 
 
 def silver_financials(t: Inputs) -> DataFrame:
-    return silver.financials(t("raw_financials"))
+    return t.once("silver.financials", lambda: silver.financials(t("raw_financials")))
 
 
 def silver_attributes(t: Inputs) -> DataFrame:
-    return silver.attributes(t("raw_attributes"))
+    return t.once("silver.attributes", lambda: silver.attributes(t("raw_attributes")))
 
 
 def silver_clicks(t: Inputs) -> DataFrame:
-    return silver.clickstream(t("raw_clicks"))
+    return t.once("silver.clicks", lambda: silver.clickstream(t("raw_clicks")))
 
 
 def labels(t: Inputs) -> DataFrame:
-    return gold.label_store(silver_loans(t))
+    return t.once("gold.labels", lambda: gold.label_store(silver_loans(t)))
 
 
 def joined(t: Inputs) -> DataFrame:
-    return gold.joined_sources(
-        silver_loans(t), silver_financials(t), silver_attributes(t), silver_clicks(t), check=False)
+    return t.once("gold.joined", lambda: gold.joined_sources(
+        silver_loans(t), silver_financials(t), silver_attributes(t), silver_clicks(t), check=False))
 
 
 def features(t: Inputs) -> DataFrame:
-    return gold.derived_features(joined(t))
+    return t.once("gold.features", lambda: gold.derived_features(joined(t)))
+
+
+def stored_labels(t: Inputs) -> DataFrame:
+    """The label store as a table, for queries that read it several times."""
+    return t.once("stored.labels", lambda: stored(labels(t), "label_store"))
+
+
+def stored_features(t: Inputs) -> DataFrame:
+    return t.once("stored.features", lambda: stored(features(t), "feature_store"))
+
+
+def stored_predictions(t: Inputs) -> DataFrame:
+    return t.once("stored.predictions", lambda: stored(t("predictions"), "predictions"))
+
+
+def labelled(t: Inputs, *columns: str) -> DataFrame:
+    """Feature columns with the label, written once: ordering operators read their input several times."""
+    rows = features(t).select("loan_id", *columns).join(labels(t).select("loan_id", "label"), "loan_id")
+    return t.once("stored.labelled." + ",".join(columns), lambda: stored(rows, "labelled"))

@@ -154,8 +154,7 @@ def _(t):
     join x on (v > edges[b.bin + 1] or (b.bin = 0 and v = edges[1])) and v <= edges[b.bin + 2]
     group by 1, 2, 3""")
 def _(t):
-    rows = layers.features(t).select("loan_id", "EMI_to_Income_Ratio").join(
-        layers.labels(t).select("loan_id", "label"), "loan_id")
+    rows = layers.labelled(t, "EMI_to_Income_Ratio")
     out = distribution.quantile_bin_rates(rows, "EMI_to_Income_Ratio", "label")
     return out.withColumns({"bin_low": F.round("bin_low", 6), "bin_high": F.round("bin_high", 6)})
 

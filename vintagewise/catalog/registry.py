@@ -16,9 +16,16 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._built: dict[str, DataFrame] = {}
 
     def __call__(self, name: str) -> DataFrame:
-        return views.view(self.spark, self.sf_dir, name)
+        return self.once(name, lambda: views.view(self.spark, self.sf_dir, name))
+
+    def once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A plan that several parts of a query share, built once."""
+        if name not in self._built:
+            self._built[name] = build()
+        return self._built[name]
 
 
 @dataclass(frozen=True)

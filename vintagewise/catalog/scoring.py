@@ -87,8 +87,7 @@ derived("signal_long", " union all ".join(
     select feature, cast(n_bad as bigint) as n_bad, cast(n_good as bigint) as n_good, round(abs(2 * auc - 1), 9) as gini
     from ({auc_sql('signal_long', 'value', 'label', 'feature')}) a""")
 def _(t):
-    rows = layers.features(t).select("loan_id", *SIGNALS).join(layers.labels(t).select("loan_id", "label"), "loan_id")
-    long = profile.long_numbers(rows, SIGNALS, ["label"])
+    long = profile.long_numbers(layers.labelled(t, *SIGNALS), SIGNALS, ["label"])
     return performance.feature_signal(long, "label", len(SIGNALS)).withColumn("gini", F.round("gini", 9))
 
 

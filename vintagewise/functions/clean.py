@@ -1,6 +1,8 @@
 """Value-level cleaning rules, each from Column to Column, all null-safe and safe under ANSI mode."""
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -44,12 +46,10 @@ def enforce_types(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
 def keep_between(c, low=None, high=None) -> Column:
     """Null outside [low, high]; either bound may be left open."""
     value = col(c)
-    ok = F.lit(True)
-    if low is not None:
-        ok = ok & (value >= low)
+    tests = [value >= low] if low is not None else []
     if high is not None:
-        ok = ok & (value <= high)
-    return F.when(ok, value)
+        tests.append(value <= high)
+    return F.when(reduce(and_, tests), value) if tests else value
 
 
 def null_sentinels(c, *sentinels: str) -> Column:

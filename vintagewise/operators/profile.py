@@ -136,13 +136,19 @@ def equal_width_histogram(long: DataFrame, bins: int, features: int | None = Non
 def pearson_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Correlation of every column pair over the rows where both are present, in one pass."""
     numbers = df.select(*[no_nan(F.col(c).cast("double")).alias(c) for c in columns])
-    return pair_table(numbers, columns, lambda a, b: F.corr(a, b))
+    return pair_table(numbers, columns, lambda a, b: correlation(F.col(a), F.col(b)))
+
+
+def correlation(a: Column, b: Column) -> Column:
+    """Pearson correlation over rows where both are present; null when either side does not vary."""
+    spread = F.stddev_samp(F.when(b.isNotNull(), a)) * F.stddev_samp(F.when(a.isNotNull(), b))
+    return F.try_divide(F.covar_samp(a, b), spread)
 
 
 def pair_table(df: DataFrame, columns: Sequence[str], measure) -> DataFrame:
     """Aggregate `measure(a, b)` for each pair a < b, one row per pair.
 
-    `corr` skips a row when either side is null, which makes each pair complete on its own.
+    Aggregates of two columns skip a row when either side is null, so each pair is complete on its own.
     """
     pairs = list(combinations(columns, 2))
     one = df.agg(*[measure(a, b).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
@@ -180,6 +186,6 @@ def spearman_matrix(df: DataFrame, columns: Sequence[str], key: Sequence[str]) -
 
     def rank_corr(a: str, b: str) -> Column:
         # null arrays give null ranks, so incomplete pairs drop out
-        return F.corr(F.col(a)[index[b]], F.col(b)[index[a]])
+        return correlation(F.col(a)[index[b]], F.col(b)[index[a]])
 
     return pair_table(wide, columns, rank_corr)

@@ -27,40 +27,46 @@ def _rounded(c):
 
 
 def financials(raw: DataFrame) -> DataFrame:
-    """Customer finances: each rule is one expression, all in one projection."""
-    limits = C.keep_between
-    rules = {
-        "Annual_Income": limits(_rounded(C.to_double(C.strip_all("Annual_Income"))), *S.INCOME_LIMITS),
+    """Customer finances: text is parsed in one projection and limited in the next, so each value is parsed once."""
+    history = F.col("Credit_History_Age")
+    parsed = raw.withColumns({
+        "Annual_Income": _rounded(C.to_double(C.strip_all("Annual_Income"))),
         "Monthly_Inhand_Salary": _rounded(C.to_double("Monthly_Inhand_Salary")),
-        "Num_Bank_Accounts": limits(C.to_int("Num_Bank_Accounts"), *S.ACCOUNT_LIMITS),
-        "Num_Credit_Card": limits(C.to_int("Num_Credit_Card"), *S.CARD_LIMITS),
-        "Interest_Rate": limits(C.to_int("Interest_Rate"), *S.INTEREST_LIMITS),
-        "Num_of_Loan": limits(C.to_int(C.strip_all("Num_of_Loan")), *S.LOAN_COUNT_LIMITS),
+        "Num_Bank_Accounts": C.to_int("Num_Bank_Accounts"),
+        "Num_Credit_Card": C.to_int("Num_Credit_Card"),
+        "Interest_Rate": C.to_int("Interest_Rate"),
+        "Num_of_Loan": C.to_int(C.strip_all("Num_of_Loan")),
         "Type_of_Loan": C.null_default("Type_of_Loan", S.NO_LOAN),
-        "Delay_from_due_date": limits(C.to_int("Delay_from_due_date"), *S.DELAY_DAYS_LIMITS),
-        "Num_of_Delayed_Payment": limits(C.to_int(C.strip_all("Num_of_Delayed_Payment")), *S.DELAYED_LIMITS),
+        "Delay_from_due_date": C.to_int("Delay_from_due_date"),
+        "Num_of_Delayed_Payment": C.to_int(C.strip_all("Num_of_Delayed_Payment")),
         "Changed_Credit_Limit": _rounded(C.to_double(C.null_sentinels("Changed_Credit_Limit", S.BLANK))),
-        "Num_Credit_Inquiries": limits(C.to_double("Num_Credit_Inquiries"), *S.INQUIRY_LIMITS),
+        "Num_Credit_Inquiries": C.to_double("Num_Credit_Inquiries"),
         "Credit_Mix": C.null_sentinels("Credit_Mix", S.BLANK),
         "Outstanding_Debt": C.to_double(C.strip_all("Outstanding_Debt")),
         "Credit_Utilization_Ratio": _rounded(C.to_double("Credit_Utilization_Ratio")),
         "Payment_of_Min_Amount": C.keep_listed("Payment_of_Min_Amount", "Yes", "No"),
-        "Total_EMI_per_month": _rounded(limits(C.to_double("Total_EMI_per_month"), *S.EMI_LIMITS)),
+        "Total_EMI_per_month": C.to_double("Total_EMI_per_month"),
         "Amount_invested_monthly": _rounded(C.to_double(C.strip_edges(
             C.null_sentinels(F.trim("Amount_invested_monthly"), S.INVESTED_PLACEHOLDER)))),
         "Payment_Behaviour": C.null_sentinels(F.trim("Payment_Behaviour"), S.BEHAVIOUR_PLACEHOLDER),
         "Monthly_Balance": _rounded(C.to_double(C.strip_edges(
             C.null_sentinels(F.trim("Monthly_Balance"), S.BALANCE_PLACEHOLDER)))),
         "snapshot_date": F.col("snapshot_date").cast("date"),
-    }
-    columns = [rules[c].alias(c) if c in rules else F.col(c) for c in raw.columns]
-    history = F.col("Credit_History_Age")
-    return raw.select(
-        *columns,
-        C.years_part(history).alias("Credit_History_Years"),
-        C.months_part(history).alias("Credit_History_Months_part"),
-        C.duration_months(history).alias("Credit_History_Age_Months"),
-    )
+        "Credit_History_Years": C.years_part(history),
+        "Credit_History_Months_part": C.months_part(history),
+    })
+    return parsed.withColumns({
+        "Annual_Income": C.keep_between("Annual_Income", *S.INCOME_LIMITS),
+        "Num_Bank_Accounts": C.keep_between("Num_Bank_Accounts", *S.ACCOUNT_LIMITS),
+        "Num_Credit_Card": C.keep_between("Num_Credit_Card", *S.CARD_LIMITS),
+        "Interest_Rate": C.keep_between("Interest_Rate", *S.INTEREST_LIMITS),
+        "Num_of_Loan": C.keep_between("Num_of_Loan", *S.LOAN_COUNT_LIMITS),
+        "Delay_from_due_date": C.keep_between("Delay_from_due_date", *S.DELAY_DAYS_LIMITS),
+        "Num_of_Delayed_Payment": C.keep_between("Num_of_Delayed_Payment", *S.DELAYED_LIMITS),
+        "Num_Credit_Inquiries": C.keep_between("Num_Credit_Inquiries", *S.INQUIRY_LIMITS),
+        "Total_EMI_per_month": _rounded(C.keep_between("Total_EMI_per_month", *S.EMI_LIMITS)),
+        "Credit_History_Age_Months": F.col("Credit_History_Years") * 12 + F.col("Credit_History_Months_part"),
+    })
 
 
 def attributes(raw: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Session defaults and the shared checkpoint folder."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,3 +50,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives the loss of any executor, unlike a cached block."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def stored(df: DataFrame, name: str = "table") -> DataFrame:
+    """The rows as a Parquet table in the shared folder, read back.
+
+    For results that several later steps read: they are computed once, later plans start at a plain scan
+    that still prunes columns, and a lost executor costs a re-read only.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

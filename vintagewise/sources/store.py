@@ -5,19 +5,23 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.calendar import date_lit, full_months, month_start
 
 
-def write_months(df: DataFrame, path: str, *extra_keys: str, month: str = "snapshot_date",
-                 fmt: str = "parquet") -> None:
-    """Replace exactly the months (and extra keys) present in `df`; a rerun gives the same table.
+def write_partitions(df: DataFrame, path: str, *keys: str, fmt: str = "parquet") -> None:
+    """Replace exactly the partitions present in `df`; a rerun gives the same table.
 
-    The rebalance hint gathers each month into few files and lets AQE split a month that is large.
+    The rebalance hint gathers each partition into few files and lets AQE split one that is large.
     """
-    keys = [*extra_keys, month]
     writer = df.hint("rebalance", *keys).write.mode("overwrite").format(fmt)
     if fmt == "csv":
         writer = writer.option("header", True)
     writer.option("partitionOverwriteMode", "dynamic").partitionBy(*keys).save(path)
 
 
+def write_months(df: DataFrame, path: str, *extra_keys: str, month: str = "snapshot_date",
+                 fmt: str = "parquet") -> None:
+    """Replace the months (and extra keys) present in `df`."""
+    write_partitions(df, path, *extra_keys, month, fmt=fmt)
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """All months of a table."""
     return spark.read.parquet(path)
