@@ -6,8 +6,11 @@ from .calendar import col
 
 
 def installments_missed(overdue, due) -> Column:
-    """Installments behind; 0 when nothing can be divided."""
-    behind = F.ceil(F.try_divide(col(overdue), col(due)))
+    """Installments behind, begun ones counting whole; 0 when nothing can be divided.
+
+    Division noise (0.21 / 0.07 is a little over 3) does not count as a begun installment.
+    """
+    behind = F.ceil(F.round(F.try_divide(col(overdue), col(due)), 9))
     return F.coalesce(behind, F.lit(0)).cast("int")
 
 

@@ -3,7 +3,7 @@
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.clean import no_nan
 from .joins import one_value, small_side
@@ -136,24 +136,31 @@ def equal_width_histogram(long: DataFrame, bins: int, features: int | None = Non
 def pearson_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Correlation of every column pair over the rows where both are present, in one pass."""
     numbers = df.select(*[no_nan(F.col(c).cast("double")).alias(c) for c in columns])
-    return pair_table(numbers, columns, lambda a, b: correlation(F.col(a), F.col(b)))
+    return pair_table(numbers, columns, lambda a, b: (F.col(a), F.col(b)))
 
 
-def correlation(a: Column, b: Column) -> Column:
-    """Pearson correlation over rows where both are present; null when either side does not vary."""
-    spread = F.stddev_samp(F.when(b.isNotNull(), a)) * F.stddev_samp(F.when(a.isNotNull(), b))
-    return F.try_divide(F.covar_samp(a, b), spread)
+def pair_table(df: DataFrame, columns: Sequence[str], sides) -> DataFrame:
+    """Correlation of `sides(a, b)` for each column pair a < b, one row per pair, in one aggregate.
 
-
-def pair_table(df: DataFrame, columns: Sequence[str], measure) -> DataFrame:
-    """Aggregate `measure(a, b)` for each pair a < b, one row per pair.
-
-    Aggregates of two columns skip a row when either side is null, so each pair is complete on its own.
+    Rows where either side is null do not count for that pair. The result is null when a side does not vary;
+    a deviation within rounding error of the largest value counts as none.
     """
     pairs = list(combinations(columns, 2))
-    one = df.agg(*[measure(a, b).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
+    figures = []
+    for i, (a, b) in enumerate(pairs):
+        x, y = sides(a, b)
+        figures += [F.covar_samp(x, y).alias(f"c{i}"), F.stddev_samp(F.when(y.isNotNull(), x)).alias(f"x{i}"),
+                    F.stddev_samp(F.when(x.isNotNull(), y)).alias(f"y{i}")]
+    largest = {c: F.max(F.abs(sides(c, other)[0])).alias(f"m_{c}")
+               for c in columns for other in columns if other != c}
+    one = df.agg(*figures, *largest.values())
+
+    def rho(i, a, b):
+        varies = (F.col(f"x{i}") > 1e-12 * F.col(f"m_{a}")) & (F.col(f"y{i}") > 1e-12 * F.col(f"m_{b}"))
+        return F.when(varies, F.col(f"c{i}") / (F.col(f"x{i}") * F.col(f"y{i}")))
+
     rows = F.array(*[
-        F.struct(F.lit(a).alias("left"), F.lit(b).alias("right"), F.col(f"p{i}").alias("rho"))
+        F.struct(F.lit(a).alias("left"), F.lit(b).alias("right"), rho(i, a, b).alias("rho"))
         for i, (a, b) in enumerate(pairs)
     ])
     return one.select(F.inline(rows))
@@ -184,8 +191,5 @@ def spearman_matrix(df: DataFrame, columns: Sequence[str], key: Sequence[str]) -
     ])
     index = {c: i for i, c in enumerate(columns)}
 
-    def rank_corr(a: str, b: str) -> Column:
-        # null arrays give null ranks, so incomplete pairs drop out
-        return correlation(F.col(a)[index[b]], F.col(b)[index[a]])
-
-    return pair_table(wide, columns, rank_corr)
+    # null arrays give null ranks, so incomplete pairs drop out
+    return pair_table(wide, columns, lambda a, b: (F.col(a)[index[b]], F.col(b)[index[a]]))
