@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from .joins import small_side
 
-RANGES = 128
+RANGES = 256
+STEP = 16
 
 
 def value_counts(df: DataFrame, value: str, by: Sequence[str] = (), **weights) -> DataFrame:
@@ -26,22 +27,28 @@ def running_counts(counts: DataFrame, value: str, weights: Sequence[str], by: Se
                    groups: int | None = None) -> DataFrame:
     """Adds `<w>_before` (sum over smaller values) and `<w>_total` (sum over the group) per weight.
 
-    `counts` has one row per group and value. `groups` is a proven bound on the number of groups, if known.
+    `counts` has one row per group and value; the first weight must be finite. `groups` is a proven bound on
+    the number of groups, if known.
     """
+    columns = counts.columns
+    if not by:
+        # one group, keyed from the data so that the plan stays an equi-join
+        counts, by, groups = counts.withColumn("_one", F.col(weights[0]) * 0), ["_one"], 1
     draw = F.xxhash64(value)
     drawn = counts.groupBy(*by, F.pmod(draw, F.lit(RANGES)).alias("_draw")).agg(
         F.min_by(value, draw).alias("_cut"), *[F.sum(w).alias(w) for w in weights]
     )
-    summary = F.struct(
-        F.array_sort(F.collect_list("_cut")).alias("cuts"), *[F.sum(w).alias(w) for w in weights]
-    ).alias("_group")
-    if by:
-        cuts = small_side(drawn.groupBy(*by).agg(summary), groups)
-        marked = counts.join(cuts, list(by))
-    else:
-        marked = counts.withColumn("_group", drawn.select(summary).scalar())
+    folded = drawn.groupBy(*by).agg(
+        F.array_sort(F.collect_list("_cut")).alias("cuts"), *[F.sum(w).alias(w) for w in weights])
+    coarse = F.filter("cuts", lambda cut, i: i % STEP == 0)
+    cuts = folded.select(*by, F.struct("cuts", coarse.alias("coarse"), *weights).alias("_group"))
+    marked = counts.join(small_side(cuts, groups), list(by))
+    # every STEP-th cut first, then the STEP cuts from there
     here = F.col(value)
-    marked = marked.withColumn("_range", F.size(F.filter("_group.cuts", lambda cut: cut <= here)))
+    reached = F.size(F.filter("_group.coarse", lambda cut: cut <= here))
+    nearby = F.slice("_group.cuts", F.greatest(reached - 1, F.lit(0)) * STEP + 1, F.lit(STEP))
+    fine = F.size(F.filter(nearby, lambda cut: cut <= here))
+    marked = marked.withColumn("_range", F.greatest(reached - 1, F.lit(0)) * STEP + fine)
 
     # a range starts at the group's total less everything from it upwards; both branches of the plan then
     # need the same columns of `counts`, so its shuffle is done once and reused
@@ -55,7 +62,7 @@ def running_counts(counts: DataFrame, value: str, weights: Sequence[str], by: Se
     ranked = marked.withColumns({f"_in_{w}": F.coalesce(F.sum(w).over(inside), F.lit(0)) for w in weights})
     joined = ranked.join(shifts, [*by, "_range"])
     return joined.select(
-        *counts.columns,
+        *columns,
         *[(F.col(f"_shift_{w}") + F.col(f"_in_{w}")).alias(f"{w}_before") for w in weights],
         *[F.col(f"_group.{w}").alias(f"{w}_total") for w in weights],
     )
@@ -88,7 +95,10 @@ def quantile_points(counts: DataFrame, value: str, by: Sequence[str] = (), parts
         F.sequence(F.lit(0).cast("bigint"), F.lit(parts).cast("bigint")),
         lambda i: holds(lower(i)) | holds(F.least(lower(i) + 1, last)),
     )
-    near = ranked.withColumn("_hits", hits).where(F.size("_hits") > 0)
+    # most values are near no position: a plain comparison, wide enough for rounding, sorts them out first
+    scale = parts / F.greatest(last, F.lit(1))
+    near = ranked.where(F.floor(next_rank * scale + 1e-6) >= F.ceil((first_rank - 1) * scale - 1e-6))
+    near = near.withColumn("_hits", hits).where(F.size("_hits") > 0)
     near = near.select(*by, value, n, f"{n}_before", f"{n}_total", F.explode("_hits").alias("_i"))
     i = F.col("_i")
     ends = near.groupBy(*by, "_i").agg(

@@ -24,6 +24,9 @@ def build_session(app_name: str = "vintagewise", master: str | None = None, **co
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        # wide cleaning projections: a generated method beyond this size is never compiled by the JVM, so such a
+        # stage runs faster operator by operator
+        "spark.sql.codegen.hugeMethodLimit": "8000",
     }
     settings.update({name.replace("__", "."): str(value) for name, value in conf.items()})
     for name, value in settings.items():
