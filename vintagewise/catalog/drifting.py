@@ -118,12 +118,18 @@ ROUNDED = {"psi": 9, "mean_ref": 6, "mean_act": 6, "median_ref": 6, "median_act"
 
 
 def round_columns(df, places):
-    """Rounded twice: the first step drops summation noise, so that ties of the second fall alike in both engines."""
-    return df.withColumns({c: F.round(F.round(c, 9), p) for c, p in places.items() if c in df.columns})
+    """Coarse figures are rounded twice: the first step drops summation noise, so that ties fall alike in both engines."""
+    def settled(c, p):
+        return F.round(F.round(c, 9), p) if p <= 6 else F.round(c, p)
+
+    return df.withColumns({c: settled(c, p) for c, p in places.items() if c in df.columns})
 
 
 def rounded_sql(columns, places) -> str:
-    return ", ".join(f"{rounded(f'round({c}, 9)', places[c])} as {c}" if c in places else c for c in columns)
+    def settled(c):
+        return rounded(f"round({c}, 9)", places[c]) if places[c] <= 6 else f"round({c}, {places[c]})"
+
+    return ", ".join(f"{settled(c)} as {c}" if c in places else c for c in columns)
 
 
 DRIFT_COLUMNS = ["year", "feature", "n", *ROUNDED, "status"]
