@@ -28,7 +28,7 @@ SPARK = Dialect(
 )
 DUCKDB = Dialect(
     add_months=lambda d, n: f"cast({d} + to_months(cast({n} as int)) as date)",
-    installments="unnest(generate_series(0, 10))",
+    installments="cast(unnest(generate_series(0, 10)) as int)",
     nan="cast('NaN' as double)",
 )
 

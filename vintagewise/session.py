@@ -21,6 +21,8 @@ def build_session(app_name: str = "vintagewise", master: str | None = None, **co
     settings = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # a chain of joins on one key still splits a hot key, at the price of a further shuffle when it occurs
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
