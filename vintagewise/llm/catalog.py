@@ -3,9 +3,10 @@
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import quality
+from . import bpe, mixing, quality, secrets
 from .common import table
 
 
@@ -15,6 +16,8 @@ class Query:
     sql: str | None = None
 
 
+TOKENIZER = "word_bpe_49k.json"
+
 QUERIES: dict[str, Query] = {}
 
 
@@ -62,3 +65,60 @@ def op3_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = quality.ledger(table(spark, sf_dir, "documents", "doc_id", "text"))
     base = F.col("fail_bits").bitwiseAND(F.lit(quality.mask_of(quality.BASE))) != 0
     return entries.select("*", base.alias("base_failed"), quality.passes().alias("kept"))
+
+
+@query("op7_systematic_mix", sql=rf"""
+with d as (select doc_id, source, cast(len({WORDS_SQL}) as bigint) as size, md5(cast(doc_id as varchar)) as draw from documents),
+t as (select source, cast(sum(size) as bigint) as source_size from d group by source),
+w as (select *, 3 * source_size as cap, [5, 2, 1][((row_number() over (order by source nulls last) - 1) % 3 + 1)::int] as w from t),
+f as (
+  select *, row_number() over line as place,
+    (select sum(source_size) from t) - coalesce(sum(cap) over (line rows between unbounded preceding and 1 preceding), 0) as rest,
+    sum(w) over (line rows between current row and unbounded following) as ws
+  from w window line as (order by cap / w, source nulls last)
+),
+c as (select place as first, rest, ws from f where rest * w <= cap * ws order by place limit 1),
+g as (
+  select source, source_size,
+    case when place < first then cast(cap as double) else cast(c.rest * w as double) / cast(c.ws as double) end as target,
+    cast(('0x' || substr(md5('mix/' || coalesce('+' || source, '-')), 1, 5)) as bigint) / 1048576.0::double as start
+  from f, c
+),
+r as (
+  select d.doc_id, d.size, source_size, target, start, case when source_size > 0 then target / source_size else 0 end as rate,
+    row_number() over (partition by d.source order by d.size, draw) as place
+  from d join g on d.source is not distinct from g.source
+)
+select doc_id, size, source_size, target,
+  cast(size * (floor(start + place * rate) - floor(start + (place - 1) * rate)) as bigint) as taken
+from r
+""")
+def op7_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size, share and words taken of every document."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "source", "text")
+    taken = mixing.mix(docs, keep=["doc_id"])
+    return taken.select("row.doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+@query("op10_secret_automaton")
+def op10_secret_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and digests of the spans found in every document."""
+    found = secrets.secret_spans(table(spark, sf_dir, "documents", "doc_id", "text")).drop("text")
+    base = F.filter("secrets", lambda s: s["kind"].isin(*secrets.BASE))
+    joined = lambda spans: F.array_join(F.transform(
+        spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    number = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", *[number(kind).alias(f"n_{kind}") for kind in secrets.BASE],
+        F.sha2(joined(base), 256).alias("base_sha256"), joined("secrets").alias("spans"))
+
+
+@query("op2_bpe_transducer")
+def op2_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document and their decoding, as digests."""
+    path = public_tokenizers.path(TOKENIZER)
+    ids = bpe.encode(table(spark, sf_dir, "documents", "doc_id", "text"), path, drop_text=True)
+    return bpe.decode(ids, path).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
