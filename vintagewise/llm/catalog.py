@@ -6,7 +6,7 @@ from dataclasses import dataclass
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, mixing, quality, secrets
+from . import bpe, minhash, mixing, quality, secrets
 from .common import table
 
 
@@ -122,3 +122,22 @@ def op2_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op1_circulant_minhash", sql=rf"""
+with recursive w as (select doc_id, list_transform({WORDS_SQL}, lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) as words from documents),
+s as (
+  select distinct doc_id, array_to_string(words[i:i + 4], ' ') as g
+  from (select doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) as i from w where len(words) > 0)
+),
+n as (select doc_id, count(*) as n from s group by doc_id),
+h as (select a.doc_id as a, b.doc_id as b, count(*) as common from s a join s b on a.g = b.g and a.doc_id <> b.doc_id group by 1, 2),
+e as (select a, b from h join n x on x.doc_id = a join n y on y.doc_id = b where 100 * common >= 75 * (x.n + y.n - common)),
+r as (select doc_id as node, doc_id as reached from documents union select r.node, e.b from r join e on e.a = r.reached),
+c as (select node, min(reached) as component_id from r group by node)
+select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, component_id, d.doc_id = component_id as kept
+from documents d join c on c.node = d.doc_id left join n on n.doc_id = d.doc_id
+""")
+def op1_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of near-duplicates of every document."""
+    return minhash.linked(table(spark, sf_dir, "documents", "doc_id", "text"))
