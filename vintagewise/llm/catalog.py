@@ -6,7 +6,7 @@ from dataclasses import dataclass
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, minhash, mixing, quality, secrets
+from . import bpe, minhash, mixing, quality, secrets, token_file, warc
 from .common import table
 
 
@@ -141,3 +141,30 @@ from documents d join c on c.node = d.doc_id left join n on n.doc_id = d.doc_id
 def op1_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The group of near-duplicates of every document."""
     return minhash.linked(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+# 5 hexadecimal digits are 4 letters of base32
+_BASE32_SQL = " || ".join(
+    f"translate(lpad(to_base(cast('0x' || substr(sha1(html), {5 * i + 1}, 5) as bigint), 32), 4, '0'), "
+    "'0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567')" for i in range(8))
+
+
+@query("op6_warc_index", sql=rf"""
+with p as (select page_id, coalesce(html, '') as html from pages),
+d as (select page_id, cast(strlen(html) as bigint) as payload_bytes, {_BASE32_SQL} as payload_digest from p),
+f as (select *, min(page_id) over (partition by payload_digest, payload_bytes) as first_id from d)
+select page_id, payload_bytes, payload_digest, case when page_id = first_id then 'response' else 'revisit' end as record_type,
+  case when page_id = first_id then null else first_id end as refers_to
+from f
+""")
+def op6_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to archives and read back through the index."""
+    index = warc.write_archives(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return warc.read_records(index, payloads=False).drop("payload")
+
+
+@query("op4_token_file")
+def op4_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token files, and where each document lies in them."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return token_file.read_documents(token_file.write_tokens(docs, public_tokenizers.path(TOKENIZER), end=2))
