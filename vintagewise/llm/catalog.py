@@ -6,7 +6,7 @@ from dataclasses import dataclass
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, minhash, mixing, quality, secrets, token_file, warc
+from . import bpe, digest, minhash, mixing, quality, secrets, token_file, warc
 from .common import table
 
 
@@ -168,3 +168,11 @@ def op4_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token files, and where each document lies in them."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return token_file.read_documents(token_file.write_tokens(docs, public_tokenizers.path(TOKENIZER), end=2))
+
+
+@query("op9_improbable_digest")
+def op9_improbable_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and their likeness."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return digest.compared(docs, buckets=1 + size // digest.BUCKET_BYTES)
