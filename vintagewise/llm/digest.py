@@ -29,7 +29,7 @@ RUN = 64  # windows among which one scores
 SCORE = 16  # of a feature, at least
 CLASSES = 1024
 FILTER_BITS, HASHES, FILTER_FEATURES = 2048, 5, 160
-CUTOFF = 0.3  # share of the possible overlap beyond chance that counts as none
+CUTOFF = 0.15  # share of the possible overlap beyond chance that counts as none
 BLOCK = 1 << 18
 BUCKET_BYTES = 16 << 20
 
