@@ -6,7 +6,7 @@ from dataclasses import dataclass
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, digest, minhash, mixing, quality, secrets, token_file, warc
+from . import bpe, ctw, digest, minhash, mixing, quality, secrets, token_file, warc
 from .common import table
 
 
@@ -176,3 +176,10 @@ def op9_improbable_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     return digest.compared(docs, buckets=1 + size // digest.BUCKET_BYTES)
+
+
+@query("op5_context_tree")
+def op5_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document under a model of four folds of five."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return ctw.score(docs, ctw.fold("doc_id") == 1)
