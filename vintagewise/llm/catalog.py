@@ -6,7 +6,7 @@ from dataclasses import dataclass
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, ctw, digest, minhash, mixing, quality, secrets, token_file, warc
+from . import bpe, ctw, digest, minhash, mixing, pii, quality, secrets, token_file, warc
 from .common import table
 
 
@@ -183,3 +183,16 @@ def op5_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log probability of every document under a model of four folds of five."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return ctw.score(docs, ctw.fold("doc_id") == 1)
+
+
+@query("op8_disclosure")
+def op8_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and digests of the spans found in every document."""
+    found = pii.spans(table(spark, sf_dir, "documents", "doc_id", "text"))
+    joined = lambda spans: F.array_join(F.transform(
+        spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.PATTERNS))
+    number = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", *[number(kind).alias(f"n_{kind}") for kind in pii.PATTERNS],
+        F.sha2(joined(base), 256).alias("base_sha256"), joined("spans").alias("spans"))
