@@ -184,3 +184,9 @@ def _apart(met: DataFrame, first: DataFrame, known: DataFrame) -> DataFrame:
     pairs = x.join(_sided(first, "x"), "x_rep").join(y.join(_sided(first, "y"), "y_rep"), "key").where(
         (F.col("x_inside") != F.col("y_inside")) & (F.col("main") | (F.col("x_rep") < F.col("y_rep"))) & _can_link())
     return pairs.select(F.least("x_rep", "y_rep").alias("a"), F.greatest("x_rep", "y_rep").alias("b")).distinct()
+
+
+def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows, columns unchanged, of the document that stays of each group; rows with a null id stay."""
+    gone = linked(docs, doc_id, text).where("not kept").select(F.col("doc_id").alias("_gone"))
+    return docs.join(gone, F.col(doc_id).cast("bigint") == F.col("_gone"), "left_anti")
