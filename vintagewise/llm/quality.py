@@ -99,7 +99,9 @@ def measure(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ()) ->
         "n_ellipsis_lines": F.size(F.filter("_l", dots)),
         "n_repeat_words": _covered("_p"),
     }
-    return p.select(*keep, *[out[name].cast("long").alias(name) for name in MEASURES])
+    # handed on as a generated row: a later filter on a measure stays above it, and is not rewritten in terms of the text
+    measured = F.struct(*[out[name].cast("long").alias(name) for name in MEASURES])
+    return p.select(*keep, F.explode(F.array(measured)).alias("_m")).select(*keep, *[f"_m.{name}" for name in MEASURES])
 
 
 def ledger(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",),
