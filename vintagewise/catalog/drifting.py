@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ..functions.calendar import date_lit
 from ..functions.clean import valid_score
 from ..operators import drift, profile
+from ..schemas import REFERENCE_CATEGORIES
 from . import layers
 from .registry import derived, query, rounded
 
@@ -79,8 +80,13 @@ def _(t):
     return drift.psi_against_base(base, shares, ["o_orderpriority"], ["year"]).withColumn("psi", F.round("psi", 9))
 
 
-FEATURES = ["Annual_Income", "Outstanding_Debt", "Credit_History_Age_Months", "Num_of_Loan", "Num_Bank_Accounts"]
-CATEGORIES = ["Credit_Mix", "Type_of_Loan", "Payment_of_Min_Amount"]
+# every number of the cleaned financials; the last one is missing from the later years
+FEATURES = ["Annual_Income", "Monthly_Inhand_Salary", "Num_Credit_Card", "Interest_Rate", "Num_of_Loan",
+            "Delay_from_due_date", "Num_of_Delayed_Payment", "Changed_Credit_Limit", "Num_Credit_Inquiries",
+            "Outstanding_Debt", "Credit_Utilization_Ratio", "Total_EMI_per_month", "Amount_invested_monthly",
+            "Monthly_Balance", "Credit_History_Years", "Credit_History_Months_part", "Credit_History_Age_Months",
+            "Num_Bank_Accounts"]
+CATEGORIES = ["Credit_Mix", "Type_of_Loan", "Payment_of_Min_Amount", "Payment_Behaviour"]
 BASE_END = "1997-01-01"
 
 derived("fin_years", """
@@ -161,7 +167,7 @@ derived("cat_ref", f"""
     with m as (select feature, coalesce(value, '__MISSING__') as name from cat_long where snapshot_date < date '{BASE_END}'),
          c as (select feature, name, count(*) as n from m group by 1, 2)
     select feature, name, n / sum(n) over (partition by feature) as share from c
-    qualify row_number() over (partition by feature order by n desc, name) <= 3""", "cat_long")
+    qualify row_number() over (partition by feature order by n desc, name) <= {REFERENCE_CATEGORIES}""", "cat_long")
 derived("cat_rows", f"""
     with e as (select feature, name, share from cat_ref
                union all select feature, '__OTHER__', greatest(0, 1 - sum(share)) from cat_ref group by 1),
@@ -183,7 +189,7 @@ derived("cat_rows", f"""
 def _category_rows(t):
     rows = _years(t)
     reference = drift.categorical_reference(
-        profile.long_texts(rows.where(F.col("snapshot_date") < date_lit(BASE_END)), CATEGORIES), k=3)
+        profile.long_texts(rows.where(F.col("snapshot_date") < date_lit(BASE_END)), CATEGORIES), k=REFERENCE_CATEGORIES)
     recent = rows.where(F.col("snapshot_date") >= date_lit(BASE_END))
     long = profile.long_texts(recent, CATEGORIES, ["year"])
     return drift.categorical_drift(long, reference, recent.select("year").distinct(), ["year"], references=len(CATEGORIES))

@@ -6,6 +6,17 @@ from ..plans import gold, silver
 from ..session import stored
 from .registry import Inputs
 
+# the model inputs of the feature store: every column that is not excluded, as `training.feature_columns` finds them
+FEATURE_NUMBERS = [
+    "tenure", "loan_amt", "Scheduled_Installment_Amt", "Annual_Income", "Num_Bank_Accounts", "Num_Credit_Card",
+    "Interest_Rate", "Num_of_Loan", "Delay_from_due_date", "Num_of_Delayed_Payment", "Changed_Credit_Limit",
+    "Num_Credit_Inquiries", "Outstanding_Debt", "Credit_Utilization_Ratio", "Total_EMI_per_month",
+    "Amount_invested_monthly", "Monthly_Balance", "Credit_History_Age_Months", "Age", *[f"fe_{i}" for i in range(1, 21)],
+    "EMI_to_Income_Ratio", "Debt_to_Income_Ratio", "Investment_to_Income_Ratio", "Balance_to_Income_Ratio",
+    "Delayed_Payment_Rate", "Recent_Credit_Expansion_Flag", "Clickstream_Mean", "Clickstream_Vector_Norm"]
+FEATURE_TEXTS = ["Credit_Mix", "Payment_of_Min_Amount", "Payment_Behaviour", "Credit_Utilization_Band",
+                 "Credit_History_Band", "Age_Band", "Occupation_Group"]
+
 
 def silver_loans(t: Inputs) -> DataFrame:
     return t.once("silver.loans", lambda: silver.loans(t("raw_loans")))

@@ -80,8 +80,7 @@ def _(t):
     return schedule.monitored_models(registry(t), months(t))
 
 
-NUMBERS = ["loan_amt", "Annual_Income", "Outstanding_Debt", "EMI_to_Income_Ratio", "Clickstream_Mean"]
-TEXTS = ["Credit_Mix", "Age_Band", "Occupation_Group"]
+NUMBERS, TEXTS = layers.FEATURE_NUMBERS, layers.FEATURE_TEXTS
 
 # whole monitoring run: references per model from its own windows, then every model at every month
 derived("training_part", """

@@ -9,9 +9,15 @@ from ..schemas import REFERENCE_CATEGORIES
 from . import layers
 from .registry import derived, query
 
-FINANCIAL_NUMBERS = ["Annual_Income", "Outstanding_Debt", "Credit_Utilization_Ratio", "Total_EMI_per_month",
-                     "Amount_invested_monthly", "Monthly_Balance", "Credit_History_Age_Months", "Num_of_Loan",
-                     "Num_Credit_Inquiries"]
+# every number of the cleaned financials, and their other columns
+FINANCIAL_NUMBERS = ["Annual_Income", "Monthly_Inhand_Salary", "Num_Bank_Accounts", "Num_Credit_Card", "Interest_Rate",
+                     "Num_of_Loan", "Delay_from_due_date", "Num_of_Delayed_Payment", "Changed_Credit_Limit",
+                     "Num_Credit_Inquiries", "Outstanding_Debt", "Credit_Utilization_Ratio", "Total_EMI_per_month",
+                     "Amount_invested_monthly", "Monthly_Balance", "Credit_History_Years", "Credit_History_Months_part",
+                     "Credit_History_Age_Months"]
+FINANCIAL_OTHERS = ["Customer_ID", "Type_of_Loan", "Credit_Mix", "Credit_History_Age", "Payment_of_Min_Amount",
+                    "Payment_Behaviour", "snapshot_date"]
+ATTRIBUTES = ["Customer_ID", "Name", "Age", "SSN", "Occupation", "snapshot_date"]
 LINE_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
@@ -49,18 +55,15 @@ for _name in ("fin_long", "line_long"):
 @query("null_profile", needs=["silver_financials"], sql=" union all ".join(
     f"""select '{c}' as column_name, count(*) filter ({c} is null) as null_count,
         100 * count(*) filter ({c} is null) / count(*) as null_pct from silver_financials"""
-    for c in FINANCIAL_NUMBERS + ["Type_of_Loan", "Credit_Mix", "Payment_Behaviour", "Payment_of_Min_Amount"]))
+    for c in FINANCIAL_NUMBERS + FINANCIAL_OTHERS))
 def _(t):
-    columns = FINANCIAL_NUMBERS + ["Type_of_Loan", "Credit_Mix", "Payment_Behaviour", "Payment_of_Min_Amount"]
-    return profile.null_profile(layers.silver_financials(t), columns).orderBy(F.desc("null_pct"), "column_name")
+    return profile.null_profile(layers.silver_financials(t)).orderBy(F.desc("null_pct"), "column_name")
 
 
-@query("null_counts", needs=["silver_attributes"], sql="""
-    select count(*) filter (Name is null) as Name, count(*) filter (Age is null) as Age,
-           count(*) filter (SSN is null) as SSN, count(*) filter (Occupation is null) as Occupation
-    from silver_attributes""")
+@query("null_counts", needs=["silver_attributes"], sql="select " + ", ".join(
+    f"count(*) filter ({c} is null) as {c}" for c in ATTRIBUTES) + " from silver_attributes")
 def _(t):
-    return profile.null_counts(layers.silver_attributes(t), ["Name", "Age", "SSN", "Occupation"])
+    return profile.null_counts(layers.silver_attributes(t))
 
 
 @query("value_frequency", needs=["silver_attributes"], sql="""
@@ -180,7 +183,7 @@ def _(t):
     return out.withColumn("rho", F.round("rho", 6))
 
 
-RANKED = FINANCIAL_NUMBERS[:6]
+RANKED = FINANCIAL_NUMBERS
 
 
 @query("spearman_matrix", needs=["silver_financials"], sql=" union all ".join(

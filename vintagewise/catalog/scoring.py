@@ -76,8 +76,8 @@ def _(t):
     return performance.roc_grid(points, ["grp"]).withColumn("tpr", F.round("tpr", 9))
 
 
-SIGNALS = ["tenure", "loan_amt", "Annual_Income", "Outstanding_Debt", "Credit_Utilization_Ratio",
-           "Credit_History_Age_Months", "EMI_to_Income_Ratio", "Clickstream_Mean"]
+# every numeric feature of the store
+SIGNALS = layers.FEATURE_NUMBERS
 derived("signal_long", " union all ".join(
     f"select '{c}' as feature, cast({c} as double) as value, label from feature_store join label_store using (loan_id) "
     f"where {c} is not null" for c in SIGNALS), "feature_store", "label_store")
@@ -132,14 +132,11 @@ def _(t):
     return _latest(t)
 
 
-DAYS = [f"2024-01-{day:02d}" for day in range(1, 31)]
-
-
-@query("pivot_drift", needs=["latest"], sql="select feature, " + ", ".join(
-    f"max(psi) filter (snapshot_date = date '{d}') as \"{d}\"" for d in DAYS) + " from latest group by 1")
+@query("pivot_drift", needs=["latest"], sql="""
+    select * from (pivot (select feature, cast(snapshot_date as varchar) as day, psi from latest) on day using max(psi) group by feature)""")
 def _(t):
     rows = _latest(t).withColumn("snapshot_date", F.col("snapshot_date").cast("string"))
-    return history.pivot_months(rows, "feature", "snapshot_date", "psi", DAYS)
+    return history.pivot_months(rows, "feature", "snapshot_date", "psi", history.months_of(rows, "snapshot_date"))
 
 
 @query("topn_features", needs=["latest", "top_features"], sql="select * from latest where feature in (from top_features)")

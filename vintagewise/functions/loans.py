@@ -4,14 +4,17 @@ from pyspark.sql import Column, functions as F
 
 from .calendar import col
 
+MOST_INSTALLMENTS = 12 * 1900  # months back from now to the first year
+
 
 def installments_missed(overdue, due) -> Column:
-    """Installments behind, begun ones counting whole; 0 when nothing can be divided.
+    """Installments behind, begun ones counting whole; 0 when nothing can be divided, or when so many would be behind
+    that no date could be given to the first.
 
     Division noise (0.21 / 0.07 is a little over 3) does not count as a begun installment.
     """
     behind = F.ceil(F.round(F.try_divide(col(overdue), col(due)), 9))
-    return F.coalesce(behind, F.lit(0)).cast("int")
+    return F.coalesce(F.when(behind <= MOST_INSTALLMENTS, behind), F.lit(0)).cast("int")
 
 
 def first_missed_date(snapshot, missed) -> Column:

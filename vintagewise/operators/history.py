@@ -1,6 +1,8 @@
 """Run history: latest run per key, pivots, top groups and cumulative shares."""
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -8,17 +10,20 @@ from .ordering import running_counts
 
 
 def latest_run(df: DataFrame, keys: Sequence[str], run: str = "inference_id") -> DataFrame:
-    """The row with the highest run id per key. The maximum is combined before the shuffle, so a key
-    with many reruns does not gather them in one task."""
-    values = [c for c in df.columns if c not in keys]
-    newest = df.groupBy(*keys).agg(F.max_by(F.struct(*values), run).alias("_row"))
-    return newest.select(*keys, "_row.*").select(*df.columns)
+    """The row with the highest run id per key; of rows that share it, one.
+
+    The maximum of the id alone is combined before the shuffle and joined back, so no row is sorted for it and a key with
+    many reruns does not gather them in one task.
+    """
+    newest = df.groupBy(*keys).agg(F.max(run).alias("_newest")).toDF(*[f"_{k}" for k in keys], "_newest")
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], F.col(run).eqNullSafe(F.col("_newest")))
+    return df.join(newest, same, "left_semi").dropDuplicates(list(keys))
 
 
 def group_figures(df: DataFrame, key: str, value: str) -> DataFrame:
     """Group size and group maximum on every row, and whether the row holds the maximum."""
     figures = df.groupBy(key).agg(F.count("*").alias("size"), F.max(value).alias("_best"))
-    joined = df.join(figures, key)
+    joined = df.join(figures.withColumnRenamed(key, "_key"), F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
     return joined.withColumn("keep", F.col(value) == F.col("_best")).drop("_best")
 
 
@@ -44,12 +49,9 @@ def pivot_months(df: DataFrame, row: str, month: str, value: str, months: Sequen
     return df.groupBy(row).pivot(month, list(months)).agg(F.first(value, ignorenulls=True))
 
 
-def months_of(df: DataFrame, month: str, most: int = 1200) -> list:
-    """Distinct months on the driver, for pivots; refuses more than `most`."""
-    found = [r[0] for r in df.select(month).distinct().limit(most + 1).collect()]
-    if len(found) > most:
-        raise ValueError(f"more than {most} months to pivot")
-    return sorted(found)
+def months_of(df: DataFrame, month: str) -> list:
+    """Distinct months on the driver, for pivots: one value per future column."""
+    return sorted(r[0] for r in df.select(month).distinct().collect() if r[0] is not None)
 
 
 def top_groups(df: DataFrame, group: str, value: str, n: int) -> DataFrame:

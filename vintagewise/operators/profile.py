@@ -1,6 +1,8 @@
 """Column profiles, shares, rates, histograms and correlations, as tables."""
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pandas as pd
@@ -78,8 +80,10 @@ def shares(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """Count and share of each value inside its group."""
     counts = frequencies(df, [*by, value])
     if by:
-        totals = counts.groupBy(*by).agg(F.sum("n_rows").alias("_rows"))
-        counts = counts.join(totals, list(by))
+        # null groups are groups too
+        totals = counts.groupBy(*by).agg(F.sum("n_rows").alias("_rows")).toDF(*[f"_{c}" for c in by], "_rows")
+        same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by])
+        counts = counts.join(totals, same).drop(*[f"_{c}" for c in by])
     else:
         counts = counts.withColumn("_rows", one_value(counts, F.sum("n_rows")))
     return counts.withColumn("share", F.col("n_rows") / F.col("_rows")).drop("_rows")

@@ -16,12 +16,22 @@ def at_snapshot(df: DataFrame, snapshot, column: str = "snapshot_date") -> DataF
     """Rows of one snapshot; both sides are compared as dates, so text and timestamps match too."""
     if df.schema[column].dataType.simpleString() == "date":
         return df.where(F.col(column) == date_lit(snapshot))
-    return df.where(F.to_date(column) == date_lit(snapshot))
+    return df.where(as_date(column) == date_lit(snapshot))
+
+
+def as_date(column: str):
+    """The date a text gives, null where it gives none."""
+    return F.try_to_date(F.col(column).cast("string"))
 
 
 def dated(df: DataFrame, column: str = "snapshot_date") -> DataFrame:
-    """The snapshot column as a date, ready to partition by."""
-    return df.withColumn(column, F.to_date(column))
+    """The rows with a readable snapshot date, as a date ready to partition by. `undated` has the others."""
+    return df.withColumn(column, as_date(column)).where(F.col(column).isNotNull())
+
+
+def undated(df: DataFrame, column: str = "snapshot_date") -> DataFrame:
+    """The rows whose snapshot date is null or not a date, as they came."""
+    return df.where(as_date(column).isNull())
 
 
 def source_extent(df: DataFrame, source: str, column: str = "snapshot_date") -> DataFrame:

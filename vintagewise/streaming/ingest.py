@@ -1,17 +1,21 @@
 """Monthly catch-up: new raw files are taken up once, split by month, and the run ends."""
 
-from pyspark.sql import SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
+from ..plans.backfill import write_bronze
 from ..schemas import RAW_COLUMNS, text_schema
 
 
 def ingest_available(spark: SparkSession, source: str, csv_folder: str, root: str) -> None:
-    """Add every file not seen before to the bronze table; the sink's log makes a retry add nothing twice."""
+    """Take up every file not seen before. The months in them replace those of the bronze table, as a batch does, so a
+    month sent again, or a run repeated after a failure, counts once; files of one run that share a month add up."""
+
+    def take_up(batch: DataFrame, _number: int) -> None:
+        write_bronze(batch, source, root)
+
     files = (spark.readStream.schema(text_schema(RAW_COLUMNS[source]))
              .option("header", True).option("enforceSchema", False).csv(csv_folder))
-    months = files.withColumn("snapshot_date", F.to_date("snapshot_date"))
-    query = (months.writeStream.format("csv").option("header", True).partitionBy("snapshot_date")
-             .option("path", f"{root}/bronze/{source}")
+    query = (files.writeStream.foreachBatch(take_up)
              .option("checkpointLocation", f"{root}/_ingest/{source}")
              .trigger(availableNow=True).start())
     query.awaitTermination()
