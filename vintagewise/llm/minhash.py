@@ -1,9 +1,9 @@
 """Near-duplicate groups by circulant MinHash.
 
 A shingle's hash is scrambled once; coordinate k of the signature is the least value of a second fixed permutation
-taken at the scrambled hash shifted round by k. Two permutations thus give all coordinates. The first half is cut into
-bands, and texts that share a band meet in a bucket; four bits of every coordinate tell which of these meetings can be
-links at all. Links are then confirmed on the full shingle sets.
+taken at the scrambled hash shifted round by k. Two permutations thus give all coordinates. The first of them are cut
+into bands, and texts that share a band meet in a bucket; four bits of every coordinate tell which of these meetings can
+be links at all. Links are then confirmed on the full shingle sets.
 
 Texts with equal sets are one class, which its smallest id represents; only representatives are compared, so copies
 never make pairs. In a bucket every member is first compared with one member. What this links is joined to components, and
@@ -19,6 +19,8 @@ one; further columns are not looked at.
 """
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -31,10 +33,13 @@ from .shingles import mix64, shared, shingle_sets
 
 BANDS, ROWS = 32, 4
 SHARED, OF = 75, 100  # a link: OF * intersection >= SHARED * union
-SIZE = 2 * BANDS * ROWS  # coordinates
-NIBBLES_APART = 98  # coordinates whose four bits differ; at similarity 0.75 the mean is 60 and the deviation 6.8
-SIGNS = [f"sign_{i}" for i in range(SIZE // 16)]
-_CHUNK = 1024
+SIZE = 1024  # coordinates
+FEW = 256  # of them, looked at first
+# Most coordinates whose four bits may differ, of the first and of all: at similarity 0.75 the means are 60 and 240, the
+# deviations 6.8 and 13.6, so a link is passed over with probability 2e-8.
+FEW_APART, ALL_APART = 98, 315
+SIGNS = [f"sign_{i}" for i in range(FEW // 16)]
+_CHUNK = 128
 
 
 def _permute(x: np.ndarray) -> np.ndarray:
@@ -131,6 +136,7 @@ def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     classes = stored(named.groupBy(*alike).agg(F.min("doc_id").alias("rep")), "classes")
     first = stored(sketch.join(classes, alike).where("doc_id = rep").select(
         "rep", "n_shingles", "bands", *[F.col("signs")[i].alias(c) for i, c in enumerate(SIGNS)],
+        F.slice("signs", len(SIGNS) + 1, (SIZE - FEW) // 16).alias("more"),
     ).dropDuplicates(["rep"]), "representatives")
 
     buckets = first.select("rep", F.explode("bands").alias("key"))
@@ -154,25 +160,31 @@ def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
 
 
 def _sided(first: DataFrame, side: str) -> DataFrame:
-    return first.select(*[F.col(c).alias(f"{side}_{c}") for c in ("rep", "n_shingles", *SIGNS)])
+    return first.select(*[F.col(c).alias(f"{side}_{c}") for c in ("rep", "n_shingles", *SIGNS, "more", "bands")])
 
 
-def _can_link() -> Column:
-    """Whether set sizes and signatures of sides x and y leave a link possible."""
+def _differing(a: Column, b: Column) -> Column:
+    """How many of 16 coordinates differ."""
+    bits = a.bitwiseXOR(b)
+    bits = bits.bitwiseOR(F.shiftrightunsigned(bits, 2))
+    bits = bits.bitwiseOR(F.shiftrightunsigned(bits, 1))
+    return F.bit_count(bits.bitwiseAND(F.lit(0x1111111111111111)))
+
+
+def _can_link(met: Column | None = None) -> Column:
+    """Whether set sizes and signatures of sides x and y leave a link possible; `met` is asked between the two looks."""
     n = [F.col("x_n_shingles"), F.col("y_n_shingles")]
-    apart = F.lit(0)
-    for c in SIGNS:
-        bits = F.col(f"x_{c}").bitwiseXOR(F.col(f"y_{c}"))
-        bits = bits.bitwiseOR(F.shiftrightunsigned(bits, 2))
-        bits = bits.bitwiseOR(F.shiftrightunsigned(bits, 1))
-        apart = apart + F.bit_count(bits.bitwiseAND(F.lit(0x1111111111111111)))
-    return (OF * F.least(*n) >= SHARED * F.greatest(*n)) & (apart <= NIBBLES_APART)
+    few = reduce(add, [_differing(F.col(f"x_{c}"), F.col(f"y_{c}")) for c in SIGNS])
+    rest = F.aggregate(F.zip_with("x_more", "y_more", _differing), F.lit(0), lambda total, x: total + x)
+    first = (OF * F.least(*n) >= SHARED * F.greatest(*n)) & (few <= FEW_APART)
+    return (first if met is None else first & met) & (few + rest <= ALL_APART)
 
 
 def _apart(met: DataFrame, first: DataFrame, known: DataFrame) -> DataFrame:
     """Pairs still to be compared: bucket mates, neither of them the lead, in different components.
 
-    Buckets whose members all ended in the lead's component need none.
+    Buckets whose members all ended in the lead's component need none. Of the buckets two texts share, they are compared
+    in one, that of the least key.
     """
     of = lambda column: known.select(F.col("node").alias(column), F.col("component").alias(f"{column}_in"))
     placed = met.where("n > 2").join(of("rep"), "rep", "left").join(of("lead"), "lead", "left").select(
@@ -182,11 +194,12 @@ def _apart(met: DataFrame, first: DataFrame, known: DataFrame) -> DataFrame:
     x = members.where("not main").select("key", F.col("inside").alias("x_inside"), F.col("rep").alias("x_rep"))
     y = members.select("key", F.col("inside").alias("y_inside"), F.col("rep").alias("y_rep"), "main")
     pairs = x.join(_sided(first, "x"), "x_rep").join(y.join(_sided(first, "y"), "y_rep"), "key").where(
-        (F.col("x_inside") != F.col("y_inside")) & (F.col("main") | (F.col("x_rep") < F.col("y_rep"))) & _can_link())
+        (F.col("x_inside") != F.col("y_inside")) & (F.col("main") | (F.col("x_rep") < F.col("y_rep")))
+        & _can_link(F.array_min(F.array_intersect("x_bands", "y_bands")) == F.col("key")))
     return pairs.select(F.least("x_rep", "y_rep").alias("a"), F.greatest("x_rep", "y_rep").alias("b")).distinct()
 
 
 def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows, columns unchanged, of the document that stays of each group; rows with a null id stay."""
     gone = linked(docs, doc_id, text).where("not kept").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, F.col(doc_id).cast("bigint") == F.col("_gone"), "left_anti")
+    return docs.join(gone, docs[doc_id].cast("bigint") == gone["_gone"], "left_anti")
