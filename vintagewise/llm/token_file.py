@@ -23,12 +23,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import stored
-from .bpe import units
+from .bpe import SPLIT_ASCII, units
 from .common import filesystem, shared_path, slices, text_bytes
 
 LENGTH = 1024  # ids per sequence
 ROWS = 256  # sequences per record batch
-REMEMBERED = 300_000  # units whose ids a task remembers
+REMEMBERED = 500_000  # units whose ids a task remembers
 MANIFEST = "shard int, file string, docs_file string, n_docs bigint, n_tokens bigint"
 
 
@@ -42,9 +42,17 @@ class UnitEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model = self.tokenizer.model
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self.known: dict[bytes, np.ndarray] = {}
 
+    def _encode(self, unit: bytes) -> list[int]:
+        """Pieces of printable ASCII are as the normaliser and splitter leave them, so the library's model takes them as they are."""
+        text = unit.decode(errors="replace")
+        if unit.isascii() and text.isprintable() and "<|" not in text:
+            return [token.id for piece in SPLIT_ASCII.findall(text.lower()) for token in self.model.tokenize(piece)]
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
     def __call__(self, texts: Sequence[bytes], end: int) -> tuple[np.ndarray, np.ndarray]:
         """(number of ids per text, all ids), each text followed by `end`."""
         number: dict[bytes, int] = defaultdict()
@@ -53,10 +61,8 @@ class UnitEncoder:
         if len(self.known) > REMEMBERED:
             self.known.clear()
         fresh = [u for u in number if u not in self.known]
-        for at in range(0, len(fresh), 4096):
-            part = fresh[at:at + 4096]
-            encoded = self.tokenizer.encode_batch_fast([u.decode(errors="replace") for u in part], add_special_tokens=False)
-            self.known.update((u, np.array(e.ids, self.kind)) for u, e in zip(part, encoded, strict=True))
+        for unit in fresh:
+            self.known[unit] = np.array(self._encode(unit), self.kind)
         pool = [self.known[u] for u in number]
         pool.append(np.array([end], self.kind))
         sizes = np.fromiter(map(len, pool), np.int64, len(pool))
