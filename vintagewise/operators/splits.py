@@ -48,7 +48,8 @@ def group_folds(df: DataFrame, group: str, label: str, folds: int, seed: int = S
     shifts = sizes.select("_class", "_range", F.coalesce(F.sum("_n").over(below), F.lit(0)).alias("_shift"))
     dealt = placed.join(shifts, ["_class", "_range"]).select(
         group, ((F.col("_shift") + F.col("_place") - 1) % folds).cast("int").alias(name))
-    return df.join(dealt, group)
+    # rows without a group are a group of their own, never dropped
+    return df.join(dealt.withColumnRenamed(group, "_group"), F.col(group).eqNullSafe(F.col("_group"))).drop("_group")
 
 
 def train_test_split(df: DataFrame, group: str = "Customer_ID", label: str = "label", ratio: float = TRAIN_RATIO,

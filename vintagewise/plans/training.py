@@ -14,14 +14,15 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, functions as F
 
 from .. import schemas as S
+from ..functions.calendar import date_lit, training_windows
 from ..functions.derive import gini_of
 from ..operators import drift, performance, splits
-from ..operators.guards import require_empty, require_rows
+from ..operators.guards import ContractError, repeated_keys, require_empty, require_rows
 from ..operators.history import cumulative_share
 from ..operators.joins import attach_features, unmatched_labels
 from ..operators.profile import long_numbers, long_texts, numeric_columns, other_columns
 from ..session import cut_lineage
-from ..sources.store import write_partitions
+from ..sources.store import missing_months, month_spine, write_months, write_partitions
 
 
 def feature_columns(df: DataFrame, exclude: Sequence[str] = S.NOT_FEATURES) -> tuple[list[str], list[str]]:
@@ -31,12 +32,26 @@ def feature_columns(df: DataFrame, exclude: Sequence[str] = S.NOT_FEATURES) -> t
 
 
 def training_rows(labels: DataFrame, features: DataFrame, train_date, check: bool = True,
-                  train_months: int = S.TRAIN_MONTHS, oot_months: int = S.OOT_MONTHS) -> DataFrame:
-    """Labels of the two windows with their features; every label must have them."""
-    windowed = splits.time_split(labels, train_date, train_months, oot_months)
-    rows = attach_features(windowed, features)
+                  train_months: int = S.TRAIN_MONTHS, oot_months: int = S.OOT_MONTHS, mob: int = S.LABEL_MOB) -> DataFrame:
+    """Labels of the two windows with their features.
+
+    Only the windows' label months are read, and the feature months `mob` earlier. With `check`, no month of either may
+    be missing, no loan may have two feature rows, and every label must have one.
+    """
+    bounds = training_windows(train_date, train_months, oot_months)
+    first, last = bounds["train_start"], bounds["oot_end"]
+    earlier = [F.trunc(F.add_months(first, -mob), "MM"), F.last_day(F.add_months(last, -mob))]
+    inside = labels.where(F.col("snapshot_date").between(first, last))
+    windowed = splits.time_split(inside, train_date, train_months, oot_months)
+    known = features.where(F.col("snapshot_date").between(*earlier))
     if check:
+        spark = labels.sparkSession
         require_rows(windowed, f"no labels in the windows of {train_date}")
+        require_empty(missing_months(inside, month_spine(spark, first, last)), "label months missing")
+        require_empty(missing_months(known, month_spine(spark, *earlier)), "feature months missing")
+        require_empty(repeated_keys(known.where("loan_id is not null"), ["loan_id"]), "loans with two feature rows")
+    rows = attach_features(windowed, known)
+    if check:
         require_empty(unmatched_labels(rows).where("n_unmatched > 0"), "labels without features")
         splits.require_two_classes(windowed)
     return rows
@@ -219,3 +234,20 @@ def score_all(features: DataFrame, pipelines: Mapping[str, PipelineModel], dates
     for part in parts[1:]:
         out = out.unionByName(part)
     return out
+
+
+def score_run(bank: str, features: DataFrame, snapshot, root: str) -> DataFrame:
+    """Scores one cohort with every model of the bank trained strictly before it and writes the predictions by model and
+    month; a rerun replaces them. Returns what was written."""
+    spark = features.sparkSession
+    at = date_lit(snapshot)
+    cohort = require_rows(features.where(F.col("snapshot_date") == at), f"no loans to score at {snapshot}")
+    eligible = spark.read.parquet(f"{bank}/registry").where(F.col("train_date") < at).select("model_name", "train_date")
+    models = eligible.collect()  # one row per model
+    if not models:
+        raise ContractError(f"no model was trained before {snapshot}")
+    dates = {m.model_name: m.train_date for m in models}
+    scored = score_all(cohort, {name: load_pipeline(bank, name) for name in dates}, dates)
+    path = f"{root}/predictions"
+    write_months(scored, path, "model_name")
+    return spark.read.parquet(path).where((F.col("snapshot_date") == at) & F.col("model_name").isin(*dates))
