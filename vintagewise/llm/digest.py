@@ -13,6 +13,7 @@ are ordered by hash of their text; an empty table gives an empty one; further co
 
 import base64
 import hashlib
+import zlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -31,7 +32,7 @@ CLASSES = 1024
 FILTER_BITS, HASHES, FILTER_FEATURES = 2048, 5, 160
 CUTOFF = 0.15  # share of the possible overlap beyond chance that counts as none
 BLOCK = 1 << 18
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 
 _SCALE = 1 << 20
 _LOGS = np.array([0, *[round(c * np.log2(c) * _SCALE) for c in range(1, WINDOW + 2)]], np.int64)
@@ -144,7 +145,8 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def shown(chain: np.ndarray) -> str:
-    return base64.b64encode(chain.tobytes()).decode()
+    """The chain as text; most bits are zero, so it is packed first."""
+    return base64.b64encode(zlib.compress(chain.tobytes(), 9)).decode()
 
 
 def _head(data: bytes, count: int) -> bytes:

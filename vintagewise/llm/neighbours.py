@@ -11,10 +11,11 @@ _PLACES = [StructField("_bucket", IntegerType()), StructField("_tail", IntegerTy
 
 
 def key_cuts(df: DataFrame, key: str, buckets: int) -> list[int]:
-    """Ascending distinct keys, the greatest last, that cut the rows into about equal buckets; null if there are none."""
-    share = [i / buckets for i in range(1, buckets + 1)]
-    found = df.agg(F.percentile_approx(key, share, 100 * buckets).alias("cuts"), F.max(key).alias("most")).first()
-    return sorted({*(found.cuts or []), *([] if found.most is None else [found.most])})
+    """Ascending keys, the greatest last, that cut the rows into about `buckets` equal parts: the borders of a range
+    partitioning of the keys alone. None if there are no keys."""
+    keys = df.select(key).where(F.col(key).isNotNull()).repartitionByRange(buckets, key)
+    found = keys.groupBy(F.spark_partition_id().alias("part")).agg(F.max(key).alias("cut")).collect()
+    return sorted({row.cut for row in found})
 
 
 def lined_up(df: DataFrame, key: str, cuts: list[int], tie: str) -> DataFrame:
@@ -23,7 +24,7 @@ def lined_up(df: DataFrame, key: str, cuts: list[int], tie: str) -> DataFrame:
     Bucket b holds the keys above cut b - 1 up to cut b, so a cut is the first key of its bucket in descending order.
     Rows with that key also stand, with `_tail` 1, behind the last row of the bucket of greater keys, and those with
     the greatest key behind the last row of all: a reader always finds the next row in its own bucket. Null keys come
-    after all others.
+    after all others; if there are no others, the first of them follows the last.
     """
     borders = np.array(cuts, np.int64)
     schema = StructType([*df.schema.fields, *_PLACES])
@@ -37,10 +38,10 @@ def lined_up(df: DataFrame, key: str, cuts: list[int], tie: str) -> DataFrame:
             bucket = np.where(known, np.searchsorted(borders, values), 0).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(bucket), pa.array(np.zeros(bucket.size, np.int32))], names)
-            first = known & (borders[np.minimum(bucket, borders.size - 1)] == values) if borders.size else known
+            first = known & (borders[np.minimum(bucket, borders.size - 1)] == values) if borders.size else ~known
             if first.any():
                 again = batch.filter(pa.array(first))
-                behind = (bucket[first] + 1) % borders.size
+                behind = (bucket[first] + 1) % max(borders.size, 1)
                 yield pa.RecordBatch.from_arrays(
                     [*again.columns, pa.array(behind.astype(np.int32)), pa.array(np.ones(behind.size, np.int32))], names)
 
