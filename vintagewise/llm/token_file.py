@@ -28,6 +28,7 @@ from .common import filesystem, shared_path, slices, text_bytes
 
 LENGTH = 1024  # ids per sequence
 ROWS = 256  # sequences per record batch
+MARKS = frozenset({b".", b",", b";", b":", b"!", b"?"})  # behind a word, a piece of their own
 REMEMBERED = 500_000  # units whose ids a task remembers
 MANIFEST = "shard int, file string, docs_file string, n_docs bigint, n_tokens bigint"
 
@@ -48,6 +49,14 @@ class UnitEncoder:
 
     def _encode(self, unit: bytes) -> list[int]:
         """Pieces of printable ASCII are as the normaliser and splitter leave them, so the library's model takes them as they are."""
+        if unit.isalpha():
+            return [token.id for token in self.model.tokenize(unit.decode().lower())]
+        if unit[:-1].isalpha() and unit[-1:] in MARKS:
+            word = self.known.get(unit[:-1])
+            return [*(self._encode(unit[:-1]) if word is None else word.tolist()), *self._encode_plain(unit[-1:])]
+        return self._encode_plain(unit)
+
+    def _encode_plain(self, unit: bytes) -> list[int]:
         text = unit.decode(errors="replace")
         if unit.isascii() and text.isprintable() and "<|" not in text:
             return [token.id for piece in SPLIT_ASCII.findall(text.lower()) for token in self.model.tokenize(piece)]
