@@ -293,6 +293,21 @@ def test_terms_that_reveal_an_entity_are_hidden(spark, nothing):
     assert pii.spans(nothing).count() == 0
 
 
+def test_terms_that_reveal_rare_entities_are_hidden(spark):
+    rows = [(i, f"plain{i} words quixotic of eve@z.org more{i} text") for i in range(2)]  # two surroundings
+    rows += [(10 + i, f"plain{i} words umbrella of person{i}@q.org more{i} text") for i in range(3)]  # each value once
+    rows += [(20 + i, f"call plain{i} words of 10.{i}.0.1 more{i} text") for i in range(9)]  # too many entities
+    rows += [(30 + i, "copied opalescent bob@y.org passage") for i in range(5)]
+    text = dict(rows)
+    found = pii.spans(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    named = {r.doc_id: {(s.kind, text[r.doc_id][s.start:s.end]) for s in r.spans} for r in found}
+    assert all(named[i] == {("email", "eve@z.org"), ("removed", "quixotic")} for i in range(2))
+    # umbrella reveals q.org for certain; other terms beside it may be generalised too
+    assert all(named[10 + i] >= {("email", f"person{i}@q.org"), ("removed", "umbrella")} for i in range(3))
+    assert all(named[20 + i] == {("ip", f"10.{i}.0.1")} for i in range(9))
+    assert all(named[30 + i] == {("email", "bob@y.org")} for i in range(5))
+
+
 def test_sanitised_keeps_rows(odd, by_id):
     assert {r.doc_id for r in pii.sanitised(pii.spans(odd)).collect()} == set(by_id)
 

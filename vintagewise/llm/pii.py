@@ -1,10 +1,12 @@
 """Information-theoretic sanitisation of personal data, in DataFrame functions only.
 
-Four kinds of identifiers are found by pattern. Each found value is a protected entity, and the corpus tells which
-words reveal it: with documents as events, a term whose pointwise mutual information with an entity comes within
-REMOVE_BITS of the entity's whole information content (that is, the entity follows from the term with probability
-2 ** -REMOVE_BITS or more) is removed from the entity's documents, one within GENERALISE_BITS is generalised. A term must
-be seen beside the entity in SUPPORT different surroundings, so copies of one passage are one observation.
+Four kinds of identifiers are found by pattern. Each found value is a protected entity, and so is its holder (domain,
+network, issuer or block of numbers), which pools values that are seen once each. The corpus tells which words reveal an
+entity: with documents as events, a term whose pointwise mutual information with an entity comes within REMOVE_BITS of the
+entity's whole information content (that is, the entity follows from the term with probability 2 ** -REMOVE_BITS or more)
+is removed from the entity's documents, one within GENERALISE_BITS is generalised. The probability is smoothed: of the
+different surroundings in which the term is seen beside the entity, DISCOUNTS are taken off, so that copies of one passage
+are one observation, and one observation is little evidence.
 
 A pattern's matches and the pieces between them give every match's place; nothing is searched twice.
 
@@ -19,9 +21,10 @@ from ..session import stored
 
 NEAR_WORDS = 8  # terms on each side of an entity that count as beside it
 NEAR_CHARS = 400  # of text looked at for them
-SUPPORT = 3  # different surroundings
+DISCOUNTS = {1: 0.9, 2: 0.5}  # taken off so many different surroundings; from three on the share counts as it is
 REMOVE_BITS, GENERALISE_BITS = 1.0, 3.0
 LEAST_LETTERS = 3  # of a term
+FEW_TERMS = 1 << 18  # so many, of NEAR_CHARS at most, every task can hold; more are counted with all others
 
 # Same matches as the plain patterns; possessive repeats and the look behind keep long runs from being tried again from
 # every place inside them.
@@ -108,24 +111,34 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, text: str = "text") -> D
     """Rows (entity, term, kind): terms that reveal an entity, and whether to remove or to generalise them.
 
     `found` has entity, doc, surroundings. Terms are counted over all documents, each once per document and summed before
-    the shuffle.
+    the shuffle. Information less mutual information is log2(n_term / both), whatever the number of documents; the smoothed
+    share is never above `trust`, so pairs it alone rules out are not joined.
     """
-    n_docs = docs.count()
+    trust = F.lit(1.0)
+    for places, off in DISCOUNTS.items():
+        trust = F.when(F.col("places") == places, 1 - off / places).otherwise(trust)
     beside = found.select("entity", "doc", F.xxhash64("surroundings").alias("place"), F.explode(F.array_distinct("surroundings")).alias("term"))
     pairs = beside.groupBy("entity", "term").agg(
-        F.count_distinct("place").alias("places"), F.count_distinct("doc").alias("both")).where(F.col("places") >= SUPPORT)
-    entities = found.groupBy("entity").agg(F.count_distinct("doc").alias("n_entity"))
-    pairs = stored(pairs.join(entities, "entity"), "beside")
-    counts = docs.select(F.explode(F.array_distinct(terms(F.coalesce(F.col(text), F.lit(""))))).alias("term")).groupBy("term").agg(
-        F.count("*").alias("n_term"))
-    joined = pairs.join(counts.join(pairs.select("term").distinct(), "term", "left_semi"), "term")
-    information = -F.log2(F.col("n_entity") / F.lit(n_docs))
-    mutual = F.log2(F.col("both") * F.lit(n_docs) / (F.col("n_entity") * F.col("n_term")))
-    short = information - mutual
+        F.count_distinct("place").alias("places"), F.count_distinct("doc").alias("both")).withColumn("trust", trust)
+    pairs = stored(pairs.where(-F.log2("trust") <= GENERALISE_BITS), "beside")
+    wanted = stored(pairs.select("term").distinct(), "terms")
+    every = docs.select(F.explode(F.array_distinct(terms(F.coalesce(F.col(text), F.lit(""))))).alias("term"))
+    if wanted.count() <= FEW_TERMS:
+        every = every.join(F.broadcast(wanted), "term", "left_semi")
+    counts = every.groupBy("term").agg(F.count("*").alias("n_term"))
+    joined = pairs.join(counts, "term")
+    short = F.log2(F.col("n_term") / (F.col("both") * F.col("trust")))
     return joined.where(short <= GENERALISE_BITS).select(
         "entity", "term", F.when(short <= REMOVE_BITS, TERMS[0]).otherwise(TERMS[1]).alias("kind"))
 
 
+def _entities(kind: Column, value: Column) -> Column:
+    """A found value and its holder: domain, network of 256 addresses, issuer's six digits, block of 10,000 numbers."""
+    holder = F.when(kind == "email", F.regexp_extract(value, "@.*", 0)).when(kind == "ip", F.regexp_extract(value, r"^.*\.", 0)).when(
+        kind == "card", F.substring(value, 1, 6)).otherwise(F.expr("left(value, length(value) - 4)"))
+    return F.array(F.concat_ws(":", kind, value), F.concat_ws(":", F.lit("holder"), kind, holder))
+
+
 def _of_kind(spans: Column, kind: str) -> Column:
     return F.transform(spans, lambda s: F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
 
@@ -139,14 +152,17 @@ def spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     key = F.struct("doc_id", F.xxhash64("text").alias("hash")).alias("doc")
     marked = identifiers(rows).withColumn("base", F.concat(*[_of_kind(F.col(kind), kind) for kind in PATTERNS]))
-    holders = marked.where(F.size("base") > 0).select(key, "text", F.explode("base").alias("span"))
+    holders = stored(marked.where(F.size("base") > 0).select(key, "text", "base"), "holders")
     value = F.substring(F.col("text"), F.col("span.start") + 1, F.col("span.end") - F.col("span.start"))
     value = F.when(F.col("span.kind") == "email", F.lower(value)).otherwise(F.regexp_replace(value, r"[^0-9.+]", ""))
-    found = stored(holders.select("doc", F.concat_ws(":", "span.kind", value).alias("entity"),
-                                  _surroundings(F.col("span")).alias("surroundings")), "entities")
+    valued = holders.select("doc", "text", F.explode("base").alias("span")).select(
+        "doc", "span.kind", value.alias("value"), _surroundings(F.col("span")).alias("surroundings"))
+    found = stored(valued.select("doc", F.explode(_entities(F.col("kind"), F.col("value"))).alias("entity"), "surroundings"), "entities")
     telling = stored(disclosing_terms(rows, found, "text"), "telling")
-    hidden = found.select("doc", "entity").distinct().join(telling, "entity").groupBy("doc").agg(
-        F.collect_set(F.struct("term", "kind")).alias("telling"))
+    # by the terms a document has, since an entity of many documents has many terms that most of them lack
+    held = holders.select("doc", F.explode(F.array_distinct(terms(F.col("text")))).alias("term"))
+    hidden = stored(held.join(telling, "term").join(found.select("doc", "entity").distinct(), ["doc", "entity"]).groupBy("doc").agg(
+        F.collect_set(F.struct("term", "kind")).alias("telling")), "hidden")
     joined = marked.withColumn("doc", key).join(hidden, "doc", "left")
 
     clear = lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
