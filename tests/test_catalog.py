@@ -5,7 +5,7 @@ import pytest
 from oracle import compare, connect
 
 import __spark_entry__ as entry
-from vintagewise.catalog import QUERIES
+from vintagewise.catalog import QUERIES, layers
 from vintagewise.catalog.views import VIEWS, oracle_views, view
 
 SF = "/root/testdata/sf0.001"
@@ -28,6 +28,11 @@ def test_runs(spark, name):
     assert QUERIES[name].run(spark, SF).count() > 0
 
 
+def test_prune_features_takes_every_number(spark):
+    found = {r.feature: r.cluster for r in QUERIES["prune_features"].run(spark, SF).select("feature", "cluster").collect()}
+    assert set(found) == set(layers.FEATURE_NUMBERS)
+
+
 @pytest.mark.parametrize("name", list(VIEWS))
 def test_views_agree(spark, con, name):
     df = view(spark, SF, name)

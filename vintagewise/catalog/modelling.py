@@ -300,14 +300,11 @@ def _(t):
         F.round("mean", 5).alias("mean"), F.round("median", 6).alias("median"), F.round("missing_rate", 9).alias("missing_rate"))
 
 
-PRUNED = ["loan_amt", "Scheduled_Installment_Amt", "Annual_Income", "Outstanding_Debt", "Debt_to_Income_Ratio", "tenure"]
-
-
 @query("prune_features")
 def _(t):
-    rows = layers.labelled(t, *PRUNED)
-    signal = performance.feature_signal(profile.long_numbers(rows, PRUNED, ["label"]), "label", len(PRUNED))
-    correlations = profile.spearman_matrix(rows, PRUNED, ["loan_id"])
+    rows = layers.labelled(t, *NUMBERS)
+    signal = performance.feature_signal(profile.long_numbers(rows, NUMBERS, ["label"]), "label", len(NUMBERS))
+    correlations = profile.spearman_matrix(rows, NUMBERS, ["loan_id"])
     return redundancy.prune_features(correlations, signal.select("feature", "gini"), 0.95)
 
 
