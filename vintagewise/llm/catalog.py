@@ -6,7 +6,7 @@ from dataclasses import dataclass
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, ctw, digest, minhash, mixing, pii, quality, secrets, token_file, warc
+from . import bit_slices, bpe, collocations, ctw, digest, minhash, mixing, piece_bpe, pii, quality, secrets, token_file, warc
 from .common import table
 
 
@@ -17,6 +17,7 @@ class Query:
 
 
 TOKENIZER = "word_bpe_49k.json"
+PIECES = "piece_bpe_32k.model"
 
 QUERIES: dict[str, Query] = {}
 
@@ -196,3 +197,76 @@ def op8_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", *[number(kind).alias(f"n_{kind}") for kind in pii.PATTERNS],
         F.sha2(joined(base), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
+# as in bit_slices.terms
+TERMS_SQL = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+@query("op11_bit_slices", sql=rf"""
+with q as (select item_id, unnest({TERMS_SQL}) as term from benchmark),
+i as (select item_id, term, count(*) as c from q group by item_id, term),
+w as (select doc_id, {TERMS_SQL} as words from documents),
+d as (select doc_id, len(words) as len from w where len(words) > 0),
+c as (select cast(count(*) as hugeint) as docs, cast(sum(len) as hugeint) as total from d),
+t as (select doc_id, term, count(*) as tf from (select doc_id, unnest(words) as term from w) where term in (select term from i) group by doc_id, term),
+f as (select term, cast(floor(1000 * ln((2 * any_value(docs) + 2)::double / (2 * count(*) + 1))) as hugeint) as weight from t, c group by term),
+m as (select doc_id, 75 + ((25 * len * docs) // total) as m from d, c),
+s as (
+  select item_id, doc_id, cast(sum(c * weight * ((1000000000::hugeint * tf) // (1000 * tf + 12 * m))) as bigint) as score
+  from t join i using (term) join f using (term) join m using (doc_id) group by item_id, doc_id
+)
+select item_id, cast(rank as integer) as rank, doc_id, score
+from (select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from s where score > 0) where rank <= 20
+""")
+def op11_bit_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return bit_slices.search(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+@query("op12_collocations", sql=r"""
+with p as (
+  select coalesce(lang, 'und') as lang, doc_id, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+  from documents
+),
+w as (select lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') as words from p),
+n as (select lang, cast(sum(len(words)) as bigint) as n from w group by lang),
+g as (
+  select lang, size, array_to_string(words[i:i + size - 1], ' ') as phrase
+  from (select lang, words, size, unnest(range(1, len(words) - size + 2)) as i from w, (select unnest([1, 2, 3]) as size) where len(words) >= size)
+),
+f as (select lang, size, phrase, count(*) as a from g group by lang, size, phrase having count(*) >= 10),
+c as (select *, string_split(phrase, ' ') as words from f where size > 1),
+k as (select *, unnest(range(1, size)) as k from c),
+s as (
+  select k.lang, k.phrase, k.a, k.k, l.a as l, r.a as r, cast((1000000::hugeint * k.a * k.a) // (l.a::hugeint * r.a) as bigint) as score
+  from k join f l on l.lang = k.lang and l.phrase = array_to_string(k.words[1:k.k], ' ')
+  join f r on r.lang = k.lang and r.phrase = array_to_string(k.words[k.k + 1:], ' ')
+),
+b as (select * from s qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+o as (
+  select lang, phrase, max(a) as longer from (
+    select lang, a, unnest([array_to_string(words[1:2], ' '), array_to_string(words[2:3], ' ')]) as phrase from c where size = 3
+  ) group by lang, phrase
+),
+v as (
+  select b.*, row_number() over (partition by b.lang order by score desc, b.a desc, b.phrase) as rank
+  from b left join o on o.lang = b.lang and o.phrase = b.phrase where longer is null or 100 * longer < 50 * b.a
+)
+select v.lang, rank, phrase, a, l, r, n, score from v join n using (lang) where rank <= 2000
+""")
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best phrases of two and three words of every language."""
+    return collocations.mine(table(spark, sf_dir, "documents", "lang", "text"))
+
+
+@query("op13_merge_rounds")
+def op13_merge_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document and their decoding, as digests."""
+    path = public_tokenizers.path(PIECES)
+    ids = piece_bpe.encode(table(spark, sf_dir, "documents", "doc_id", "text"), path, drop_text=True)
+    return piece_bpe.decode(ids, path).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
