@@ -166,7 +166,7 @@ def test_collocations_of_odd_texts_and_of_nothing(spark, odd, nothing, texts):
 
 
 def test_maps_admit_every_frequent_phrase_when_cells_are_few(spark, chatter, monkeypatch):
-    monkeypatch.setattr(collocations, "CELLS", 64)
+    monkeypatch.setattr(collocations, "MOST_CELLS", 64)
     docs = spark.createDataFrame(chatter, "text string, lang string")
     assert sorted(map(tuple, collocations.mine(docs).collect())) == sorted(plain_collocations(chatter, 3, 10, 2000))
 
@@ -174,7 +174,7 @@ def test_maps_admit_every_frequent_phrase_when_cells_are_few(spark, chatter, mon
 def test_double_array_finds_its_keys_and_nothing_else():
     rnd = np.random.default_rng(1)
     keys = list({tuple(rnd.integers(1, 60, rnd.integers(1, 5)).tolist()) for _ in range(4000)} | {(59,) * 6})
-    trie = collocations.DoubleArray(keys, 60)
+    trie = collocations.DoubleArray(np.array([k + (0,) * (6 - len(k)) for k in keys]), 60)
     place = {k: i for i, k in enumerate(keys)}
     probes = keys + [tuple(rnd.integers(0, 60, rnd.integers(1, 7)).tolist()) for _ in range(8000)]
     for size in range(1, 7):
