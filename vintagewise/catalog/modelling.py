@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import training_windows
 from ..operators import drift, performance, profile, redundancy, splits
-from ..plans import monitoring, schedule, training
+from ..plans import compiled, monitoring, schedule, training
 from ..session import stored
 from ..sources import store
 from . import layers
@@ -163,13 +163,20 @@ COVARIATE_PLACES = {"psi": 8, "mean_ref": 5, "mean_act": 5, "median_ref": 6, "me
                     "smd_mean": 8, "smd_median": 8, "var_ratio": 8, "missing_rate_ref": 9, "missing_rate_act": 9}
 
 
+def training_parts(t):
+    """Every model's training rows. Windows are spelled out as months and met by equality, not by a date range."""
+    windows = registry(t).withColumns(training_windows(F.col("train_date")))
+    due = windows.select("model_name", "train_start", "train_end", F.explode(F.sequence(
+        F.trunc("train_start", "MM"), F.trunc("train_end", "MM"), F.expr("interval 1 month"))).alias("month"))
+    dated = layers.stored_labels(t).select("loan_id", "label", "snapshot_date", F.trunc("snapshot_date", "MM").alias("month"))
+    rows = dated.join(due, "month").where(F.col("snapshot_date").between(F.col("train_start"), F.col("train_end")))
+    rows = rows.select("model_name", "loan_id", "label")
+    return stored(rows.join(layers.stored_features(t).select("loan_id", *NUMBERS, *TEXTS), "loan_id"), "part")
+
+
 def references(t) -> monitoring.References:
     """Each model's feature distributions over its own training window, and its out-of-time scores."""
-    models, labels, features = registry(t), layers.stored_labels(t), layers.stored_features(t)
-    windows = models.withColumns(training_windows(F.col("train_date")))
-    rows = labels.select("loan_id", "snapshot_date").join(
-        windows, F.col("snapshot_date").between(F.col("train_start"), F.col("train_end")))
-    part = stored(rows.select("model_name", "loan_id").join(features.select("loan_id", *NUMBERS, *TEXTS), "loan_id"), "part")
+    part = training_parts(t)
     numeric = drift.numeric_reference(
         profile.long_numbers(part, NUMBERS, ["model_name"]), ["model_name"], groups=MODEL_COUNT * len(NUMBERS))
     categorical = drift.categorical_reference(profile.long_texts(part, TEXTS, ["model_name"]), ["model_name"])
@@ -300,6 +307,38 @@ def _(t):
         F.round("mean", 5).alias("mean"), F.round("median", 6).alias("median"), F.round("missing_rate", 9).alias("missing_rate"))
 
 
+derived("stump_part", """
+    select r.model_name, l.label, f.* from registry r join label_store l
+      on l.snapshot_date between r.train_date - interval 14 month and r.train_date - interval 2 month - interval 1 day
+    join feature_store f using (loan_id)""", "registry", "label_store", "feature_store")
+derived("stump_long", " union all ".join(
+    f"select model_name, label, '{c}' as feature, cast({c} as double) as value from stump_part" for c in NUMBERS), "stump_part")
+_LEAF = "ln((count(*) filter (label = 1 and {0}) + 0.5) / (count(*) filter (label = 0 and {0}) + 0.5)) / " + str(2 * len(NUMBERS))
+derived("stumps", f"""
+    select model_name, feature, any_value(threshold) as threshold, {_LEAF.format('value <= threshold')} as low,
+           {_LEAF.format('value > threshold')} as high, {_LEAF.format('value is null')} as missing
+    from stump_long join (select model_name, feature, quantile_cont(value, 0.5) as threshold from stump_long group by 1, 2) m
+      using (model_name, feature) group by 1, 2""", "stump_long")
+derived("cohort_long", " union all ".join(
+    f"select loan_id, snapshot_date, '{c}' as feature, cast({c} as double) as value from feature_store" for c in NUMBERS),
+    "feature_store")
+
+
+@query("score_cohort", needs=["registry", "stumps", "cohort_long"], sql="""
+    select loan_id, snapshot_date, model_name, round(1 / (1 + exp(-2 * sum(
+             case when value is null then missing when value <= threshold then low else high end))), 9) as model_predictions
+    from cohort_long join registry on snapshot_date > train_date join stumps using (model_name, feature) group by 1, 2, 3""")
+def _(t):
+    """Every loan scored by all models trained before its month, in one scan of the feature store."""
+    stumps = compiled.fit_stumps(training_parts(t), NUMBERS, "model_name", "label", MODEL_COUNT * len(NUMBERS))
+    found = {}
+    for row in stumps.collect():  # one row per model and feature
+        found.setdefault(row.model_name, []).append(row)
+    models = [compiled.from_stumps(r.model_name, r.train_date, found[r.model_name]) for r in registry(t).collect() if r.model_name in found]
+    scored = compiled.score_models(layers.stored_features(t), models, ["loan_id", "snapshot_date"])
+    return scored.withColumn("model_predictions", F.round("model_predictions", 9))
+
+
 @query("prune_features")
 def _(t):
     rows = layers.labelled(t, *NUMBERS)

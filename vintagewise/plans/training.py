@@ -23,6 +23,7 @@ from ..operators.joins import attach_features, unmatched_labels
 from ..operators.profile import long_numbers, long_texts, numeric_columns, other_columns
 from ..session import cut_lineage
 from ..sources.store import missing_months, month_spine, write_months, write_partitions
+from .compiled import CompiledModel, from_pipeline, score_models
 
 
 def feature_columns(df: DataFrame, exclude: Sequence[str] = S.NOT_FEATURES) -> tuple[list[str], list[str]]:
@@ -202,10 +203,16 @@ def importance(model: TrainedModel) -> DataFrame:
     return cumulative_share(table, "feature", "importance")
 
 
+def compiled(model: TrainedModel) -> CompiledModel:
+    return from_pipeline(model.name, model.name[-10:].replace("_", "-"), model.pipeline, model.numeric, model.categorical)
+
+
 def save_model(model: TrainedModel, bank: str) -> None:
-    """Pipeline, reference tables and a registry row; the row comes last, so a listed model is complete."""
+    """Pipeline, its compiled form, reference tables and a registry row; the row comes last, so a listed model is complete."""
     root = f"{bank}/{model.name}"
     model.pipeline.write().overwrite().save(f"{root}/pipeline")
+    lines = model.rows.sparkSession.createDataFrame([(model.name, compiled(model).to_json())], "model_name string, spec string")
+    write_partitions(lines, f"{bank}/compiled", "model_name")
     for name, table in reference_tables(model).items():
         table.write.mode("overwrite").parquet(f"{root}/reference/{name}")
     results = split_performance(model).groupBy().pivot("split", ["train", "test", "oot"]).agg(F.first("auc"))
@@ -216,6 +223,12 @@ def save_model(model: TrainedModel, bank: str) -> None:
     write_partitions(row, f"{bank}/registry", "model_name")
 
 
+def load_compiled(bank: str, models: DataFrame) -> list[CompiledModel]:
+    """The compiled forms of the models named in `models`; one line of JSON each reaches the driver."""
+    specs = models.sparkSession.read.parquet(f"{bank}/compiled").join(models.select("model_name"), "model_name")
+    return [CompiledModel.from_json(r.spec) for r in specs.orderBy("model_name").collect()]
+
+
 def load_pipeline(bank: str, name: str) -> PipelineModel:
     return PipelineModel.load(f"{bank}/{name}/pipeline")
 
@@ -237,17 +250,16 @@ def score_all(features: DataFrame, pipelines: Mapping[str, PipelineModel], dates
 
 
 def score_run(bank: str, features: DataFrame, snapshot, root: str) -> DataFrame:
-    """Scores one cohort with every model of the bank trained strictly before it and writes the predictions by model and
+    """Scores one cohort, in one scan, with every model of the bank trained strictly before it and writes the predictions by model and
     month; a rerun replaces them. Returns what was written."""
     spark = features.sparkSession
     at = date_lit(snapshot)
     cohort = require_rows(features.where(F.col("snapshot_date") == at), f"no loans to score at {snapshot}")
     eligible = spark.read.parquet(f"{bank}/registry").where(F.col("train_date") < at).select("model_name", "train_date")
-    models = eligible.collect()  # one row per model
+    models = load_compiled(bank, eligible)
     if not models:
         raise ContractError(f"no model was trained before {snapshot}")
-    dates = {m.model_name: m.train_date for m in models}
-    scored = score_all(cohort, {name: load_pipeline(bank, name) for name in dates}, dates)
+    scored = score_models(cohort, models)
     path = f"{root}/predictions"
     write_months(scored, path, "model_name")
-    return spark.read.parquet(path).where((F.col("snapshot_date") == at) & F.col("model_name").isin(*dates))
+    return spark.read.parquet(path).where((F.col("snapshot_date") == at) & F.col("model_name").isin(*[m.name for m in models]))
