@@ -33,12 +33,9 @@ def _(t):
     select count(*) as n_labels, count(*) filter (f.loan_id is null) as n_unmatched,
            min(l.snapshot_date) filter (f.loan_id is null) as first_unmatched,
            max(l.snapshot_date) filter (f.loan_id is null) as last_unmatched
-    from label_store l left join (select loan_id from feature_keys where snapshot_date < date '2001-01-01') f
-      on f.loan_id = l.loan_id""")
+    from label_store l left join feature_keys f on f.loan_id = l.loan_id""")
 def _(t):
-    # the feature table stops earlier than the labels, which is what the contract looks for
-    features = store.between_months(layers.features(t), "1995-01-01", "2000-12-31")
-    return joins.unmatched_labels(joins.attach_features(layers.labels(t), features))
+    return joins.unmatched_labels(joins.attach_features(layers.labels(t), layers.features(t)))
 
 
 @query("label_feature_inner", needs=["feature_store", "label_store"], sql="""
@@ -49,28 +46,22 @@ def _(t):
     return features.join(layers.labels(t).select("loan_id", "label"), "loan_id")
 
 
-# features exist up to the last click month only; labels go on
-derived("covered_keys", """
-    select loan_id from feature_keys where snapshot_date <= (select max(snapshot_date) - interval 14 month from raw_clicks)
-    """, "feature_keys", "raw_clicks")
+# loans whose customer clicked in the months looked at; the other loans are the gaps in the data
+derived("clicked_keys", "select loan_id, snapshot_date from feature_store where Clickstream_Mean is not null", "feature_store")
 derived("coverage", """
     select strftime(l.snapshot_date - interval 6 month, '%Y-%m') as origination_month, count(*) as n_labels,
            count(f.loan_id) as n_with_features,
            round(count(f.loan_id) / count(*), 4) as coverage
     from (select distinct loan_id, snapshot_date from label_store) l
-    left join (select distinct loan_id from covered_keys) f using (loan_id) group by 1""", "label_store", "covered_keys")
+    left join (select distinct loan_id from clicked_keys) f using (loan_id) group by 1""", "label_store", "clicked_keys")
 
 
-def _covered(t):
-    """Originations whose features were built: the feature range ends 14 months before the click extent."""
-    from ..plans.gold import originations
-
-    end = t("raw_clicks").agg(F.add_months(F.max("snapshot_date"), -14)).scalar()
-    return originations(layers.silver_loans(t)).where(F.col("snapshot_date") <= end)
+def _clicked(t):
+    return layers.features(t).where("Clickstream_Mean is not null")
 
 
 def _coverage(t):
-    return joins.label_coverage(layers.labels(t), _covered(t), LABEL_MOB)
+    return joins.label_coverage(layers.labels(t), _clicked(t), LABEL_MOB)
 
 
 @query("label_coverage", needs=["coverage"], sql="select * from coverage")
@@ -85,11 +76,11 @@ def _(t):
     return joins.coverage_violations(_coverage(t), store.own_spine(t("raw_clicks")), MIN_COVERAGE)
 
 
-@query("coverage_outside", needs=["coverage", "covered_keys", "feature_keys"], sql="""
-    select * from coverage where origination_month not in
-      (select strftime(snapshot_date, '%Y-%m') from feature_keys join covered_keys using (loan_id))""")
+@query("coverage_outside", needs=["coverage", "clicked_keys"], sql="""
+    select * from coverage where origination_month not between
+      (select strftime(min(snapshot_date), '%Y-%m') from clicked_keys) and (select strftime(max(snapshot_date), '%Y-%m') from clicked_keys)""")
 def _(t):
-    return joins.coverage_outside(_coverage(t), store.own_spine(_covered(t)))
+    return joins.coverage_outside(_coverage(t), store.own_spine(_clicked(t)))
 
 
 @query("key_membership", needs=["silver_loans", "raw_clicks"], sql="""

@@ -1,8 +1,13 @@
 """Queries on AUC, ROC, feature signal, cohort performance and run history."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import history, joins, performance, profile
+from ..plans import run_history
+from ..session import ensure_checkpoint_dir
+from ..sources import store
 from . import layers
 from .registry import derived, query
 
@@ -124,7 +129,7 @@ derived("top_features", "select feature from latest group by 1 order by max(psi)
 
 
 def _latest(t):
-    return history.latest_run(t("drift_runs"), ["snapshot_date", "feature"])
+    return history.newest_rows(t("drift_runs"), ["snapshot_date", "feature"])
 
 
 @query("latest_run", needs=["latest"], sql="select * from latest")
@@ -132,11 +137,13 @@ def _(t):
     return _latest(t)
 
 
-@query("pivot_drift", needs=["latest"], sql="""
-    select * from (pivot (select feature, cast(snapshot_date as varchar) as day, psi from latest) on day using max(psi) group by feature)""")
+_DAYS = ", ".join(f"max(psi) filter (day(snapshot_date) = {d}) as d{d:02}" for d in range(1, 32))
+
+
+@query("pivot_drift", needs=["latest"], sql=f"""
+    select feature, cast(date_trunc('month', snapshot_date) as date) as month, {_DAYS} from latest group by 1, 2""")
 def _(t):
-    rows = _latest(t).withColumn("snapshot_date", F.col("snapshot_date").cast("string"))
-    return history.pivot_months(rows, "feature", "snapshot_date", "psi", history.months_of(rows, "snapshot_date"))
+    return history.pivot_days(_latest(t), "feature", "snapshot_date", "psi")
 
 
 @query("topn_features", needs=["latest", "top_features"], sql="select * from latest where feature in (from top_features)")
@@ -174,3 +181,45 @@ def _(t):
     other_runs = t("orders").groupBy(F.to_date("o_orderdate").alias("snapshot_date")).agg(
         F.count("*").alias("n_features"), F.avg((F.col("o_orderstatus") == "F").cast("int")).alias("auc"))
     return history.history(drift_runs, other_runs)
+
+
+# two saved runs: run_9 over every second click, run_10 over all of them, but for the first half of each month only
+derived("saved_drift", """
+    with c as (select concat('model_', user_id % 2) as model_name, cast(date_trunc('day', ts) as date) as snapshot_date,
+                      event_type as feature, event_id, value from events)
+    select model_name, 'run_9' as inference_id, 9 as number, snapshot_date, feature, avg(value) as psi
+    from c where event_id % 2 = 0 group by all
+    union all
+    select model_name, 'run_10', 10, snapshot_date, feature, avg(value) from c where day(snapshot_date) <= 15 group by all""")
+derived("newest_drift", """
+    select * from saved_drift qualify number = max(number) over (partition by model_name, snapshot_date)""", "saved_drift")
+
+
+def _saved_runs(t):
+    """Writes both runs as a monitoring run leaves its covariates; returns the folder."""
+    clicks = t("events").select(
+        F.concat(F.lit("model_"), F.col("user_id") % 2).alias("model_name"), F.to_date("ts").alias("snapshot_date"),
+        F.col("event_type").alias("feature"), "event_id", "value")
+    root = f"{ensure_checkpoint_dir(t.spark)}/histories/{uuid.uuid4().hex}"
+    parts = {"run_9": clicks.where(F.col("event_id") % 2 == 0), "run_10": clicks.where(F.dayofmonth("snapshot_date") <= 15)}
+    for run, part in parts.items():
+        rows = part.groupBy("model_name", "snapshot_date", "feature").agg(F.avg("value").alias("psi"))
+        store.write_months(rows.withColumn("inference_id", F.lit(run)), f"{root}/covariates", *run_history.RUN_KEYS)
+    return root
+
+
+@query("run_history", needs=["newest_drift"], sql="""
+    select model_name, feature, inference_id, snapshot_date, round(psi, 9) as psi from newest_drift""")
+def _(t):
+    """Two runs saved, and the newest of every model and day read back."""
+    rows = run_history.read_newest(t.spark, f"{_saved_runs(t)}/covariates")
+    return rows.select("model_name", "feature", "inference_id", "snapshot_date", F.round("psi", 9).alias("psi"))
+
+
+@query("run_history_top", needs=["newest_drift"], sql="""
+    with b as (select model_name, feature, max(psi) as top from newest_drift group by 1, 2),
+         c as (select model_name, feature from b qualify row_number() over (partition by model_name order by top desc, feature) <= 2)
+    select model_name, feature, snapshot_date, round(psi, 9) as psi from newest_drift join c using (model_name, feature)""")
+def _(t):
+    """The saved drift of each model's two worst features."""
+    return run_history.top_feature_psi(t.spark, _saved_runs(t), 2).withColumn("psi", F.round("psi", 9))

@@ -4,7 +4,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .ordering import running_counts
 
@@ -20,6 +20,22 @@ def latest_run(df: DataFrame, keys: Sequence[str], run: str = "inference_id") ->
     return df.join(newest, same, "left_semi").dropDuplicates(list(keys))
 
 
+def run_number(run: str) -> Column:
+    """A run id's digits as one number, which aggregates by hashing; an id without digits comes first.
+
+    Ids of one form, such as times or counters, keep their order.
+    """
+    return F.coalesce(F.right(F.regexp_replace(run, r"\D", ""), F.lit(37)).try_cast("decimal(38, 0)"), F.lit(-1).cast("decimal(38, 0)"))
+
+
+def newest_rows(df: DataFrame, keys: Sequence[str], run: str = "inference_id") -> DataFrame:
+    """All rows of each key's newest run, by `run_number`. The maximum is combined before the shuffle; nothing is sorted
+    for it, and a key with many reruns does not gather them in one task."""
+    newest = df.groupBy(*keys).agg(F.max(run_number(run)).alias("_newest")).toDF(*[f"_{k}" for k in keys], "_newest")
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], run_number(run) == F.col("_newest"))
+    return df.join(newest, same, "left_semi")
+
+
 def group_figures(df: DataFrame, key: str, value: str) -> DataFrame:
     """Group size and group maximum on every row, and whether the row holds the maximum."""
     figures = df.groupBy(key).agg(F.count("*").alias("size"), F.max(value).alias("_best"))
@@ -49,6 +65,15 @@ def pivot_months(df: DataFrame, row: str, month: str, value: str, months: Sequen
     return df.groupBy(row).pivot(month, list(months)).agg(F.first(value, ignorenulls=True))
 
 
+def pivot_days(df: DataFrame, row: str, day: str, value: str) -> DataFrame:
+    """One row per group and month, with a column for each day of a month, d01 to d31, whatever days occur.
+
+    The columns are fixed, so that no job looks for them, and results of all months have one schema.
+    """
+    cells = [F.max(F.when(F.dayofmonth(day) == d, F.col(value))).alias(f"d{d:02}") for d in range(1, 32)]
+    return df.groupBy(row, F.trunc(day, "MM").alias("month")).agg(*cells)
+
+
 def months_of(df: DataFrame, month: str) -> list:
     """Distinct months on the driver, for pivots: one value per future column."""
     return sorted(r[0] for r in df.select(month).distinct().collect() if r[0] is not None)
