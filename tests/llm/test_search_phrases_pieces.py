@@ -171,6 +171,13 @@ def test_maps_admit_every_frequent_phrase_when_cells_are_few(spark, chatter, mon
     assert sorted(map(tuple, collocations.mine(docs).collect())) == sorted(plain_collocations(chatter, 3, 10, 2000))
 
 
+def test_small_slices_and_numberings_change_nothing(spark, chatter, monkeypatch):
+    for name, value in {"SLICE_BYTES": 300, "NUMBERED": 6, "TOLD": 5, "AT_ONCE": 2, "COUNTED": 3}.items():
+        monkeypatch.setattr(collocations, name, value)
+    docs = spark.createDataFrame(chatter, "text string, lang string").coalesce(2)
+    assert sorted(map(tuple, collocations.mine(docs, shard=30).collect())) == sorted(plain_collocations(chatter, 3, 10, 2000))
+
+
 def test_double_array_finds_its_keys_and_nothing_else():
     rnd = np.random.default_rng(1)
     keys = list({tuple(rnd.integers(1, 60, rnd.integers(1, 5)).tolist()) for _ in range(4000)} | {(59,) * 6})
