@@ -3,7 +3,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from vintagewise.operators import distribution, ordering, performance, profile
+from vintagewise.operators import correlation, distribution, ordering, performance
 
 numbers = st.lists(st.integers(-50, 50).map(lambda i: i / 4), min_size=2, max_size=60)
 
@@ -116,8 +116,8 @@ def test_correlations_match_pandas(spark):
              float(rng.random()) if rng.random() > .3 else None, 7.0) for i in range(200)]
     df = spark.createDataFrame(data, "id int, a double, b double, c double, flat double")
     pdf, columns = df.toPandas(), ["a", "b", "c", "flat"]
-    spearman = {(r.left, r.right): r.rho for r in profile.spearman_matrix(df, columns, ["id"]).collect()}
-    pearson = {(r.left, r.right): r.rho for r in profile.pearson_matrix(df, columns).collect()}
+    spearman = {(r.left, r.right): r.rho for r in correlation.spearman_matrix(df, columns).collect()}
+    pearson = {(r.left, r.right): r.rho for r in correlation.pearson_matrix(df, columns).collect()}
     for a, b in [("a", "b"), ("a", "c"), ("b", "c")]:
         both = pdf[[a, b]].dropna()
         assert spearman[(a, b)] == pytest.approx(both[a].rank().corr(both[b].rank()))

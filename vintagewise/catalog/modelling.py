@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions.calendar import training_windows
-from ..operators import drift, performance, profile, redundancy, splits
+from ..operators import correlation, drift, performance, profile, redundancy, splits
 from ..plans import compiled, monitoring, schedule, training
 from ..session import stored
 from ..sources import store
@@ -339,12 +339,35 @@ def _(t):
     return scored.withColumn("model_predictions", F.round("model_predictions", 9))
 
 
-@query("prune_features")
+derived("number_rows", "select row_number() over () as rid, label, f.* from feature_store f join label_store using (loan_id)",
+        "feature_store", "label_store")
+derived("number_long", " union all ".join(
+    f"select rid, label, '{c}' as feature, cast({c} as double) as value from number_rows where {c} is not null" for c in NUMBERS),
+    "number_rows")
+_MEAN_RANK = """rank() over (partition by p.feature, q.feature order by {0}.value)
+                + (count(*) over (partition by p.feature, q.feature, {0}.value) - 1) / 2"""
+derived("rank_links", f"""
+    select f, g from (select p.feature as f, q.feature as g, {_MEAN_RANK.format("p")} as x, {_MEAN_RANK.format("q")} as y
+                      from number_long p join number_long q on p.rid = q.rid and p.feature < q.feature) r
+    group by 1, 2 having stddev_pop(x) > 0 and stddev_pop(y) > 0 and abs(corr(x, y)) >= 0.95""", "number_long")
+
+
+@query("prune_features", needs=["rank_links"], sql=f"""
+    select feature, gini, cluster, count(*) over (partition by cluster) as size,
+           gini = max(gini) over (partition by cluster) as keep
+    from (select feature, round(abs(2 * auc - 1), 9) as gini from ({auc_sql('number_long', 'value', 'label', 'feature')}) a) s
+    join (with recursive reach as (
+            select distinct feature, feature as other from number_long
+            union
+            select r.feature, l.b from reach r
+            join (select f as a, g as b from rank_links union all select g, f from rank_links) l on l.a = r.other)
+          select feature, min(other) as cluster from reach group by 1) c using (feature)""")
 def _(t):
+    """Which of the features that rank the loans alike is kept: the one with the strongest signal."""
     rows = layers.labelled(t, *NUMBERS)
     signal = performance.feature_signal(profile.long_numbers(rows, NUMBERS, ["label"]), "label", len(NUMBERS))
-    correlations = profile.spearman_matrix(rows, NUMBERS, ["loan_id"])
-    return redundancy.prune_features(correlations, signal.select("feature", "gini"), 0.95)
+    correlations = correlation.spearman_matrix(rows, NUMBERS)
+    return redundancy.prune_features(correlations, signal.select("feature", F.round("gini", 9).alias("gini")), 0.95)
 
 
 # a fixed setting of the search space; the search itself is its own query

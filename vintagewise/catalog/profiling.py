@@ -4,7 +4,7 @@ from itertools import combinations
 
 from pyspark.sql import functions as F
 
-from ..operators import distribution, drift, ordering, profile
+from ..operators import correlation, distribution, drift, ordering, profile
 from ..schemas import REFERENCE_CATEGORIES
 from . import layers
 from .registry import derived, query
@@ -179,7 +179,7 @@ def _(t):
     f"""select '{a}' as "left", '{b}' as "right", round(corr({a}, {b}), 6) as rho from silver_financials"""
     for a, b in combinations(FINANCIAL_NUMBERS, 2)))
 def _(t):
-    out = profile.pearson_matrix(layers.silver_financials(t), FINANCIAL_NUMBERS)
+    out = correlation.pearson_matrix(layers.silver_financials(t), FINANCIAL_NUMBERS)
     return out.withColumn("rho", F.round("rho", 6))
 
 
@@ -193,7 +193,7 @@ RANKED = FINANCIAL_NUMBERS
           from silver_financials where {a} is not null and {b} is not null) r"""
     for a, b in combinations(RANKED, 2)))
 def _(t):
-    out = profile.spearman_matrix(layers.silver_financials(t), RANKED, ["Customer_ID", "snapshot_date"])
+    out = correlation.spearman_matrix(layers.silver_financials(t), RANKED)
     return out.withColumn("rho", F.round("rho", 6))
 
 

@@ -1,11 +1,9 @@
-"""Column profiles, shares, rates, histograms and correlations, as tables."""
+"""Column profiles, shares, rates and histograms, as tables."""
 
 from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.clean import no_nan
@@ -136,96 +134,3 @@ def equal_width_histogram(long: DataFrame, bins: int, features: int | None = Non
         (F.col("lo") + (F.col("bin") + 1) * width).alias("bin_high"),
         F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
     )
-
-
-PAIR_SUMS = "left int, right int, n double, sx double, sy double, sxx double, syy double, sxy double"
-
-
-def _pair_rows(n, sx, sxx, sxy) -> pd.DataFrame:
-    """Upper triangle of p x p sums; entry [i, j] of sx and sxx is about column i where j is present."""
-    i, j = np.triu_indices(len(n), 1)
-    return pd.DataFrame({"left": i.astype("int32"), "right": j.astype("int32"), "n": n[i, j], "sx": sx[i, j], "sy": sx[j, i],
-                         "sxx": sxx[i, j], "syy": sxx[j, i], "sxy": sxy[i, j]})
-
-
-def _number_sums(batches):
-    """Sums over a partition of plain columns, one small matrix product per batch."""
-    total = 0
-    for batch in batches:
-        x = batch.to_numpy(dtype=float)
-        have = (~np.isnan(x)).astype(float)
-        x = np.where(have > 0, x, 0.0)
-        total = total + np.stack([have.T @ have, x.T @ have, (x * x).T @ have, x.T @ x])
-    if not np.isscalar(total):
-        yield _pair_rows(*total)
-
-
-def _rank_sums(batches):
-    """The same over rank arrays: [row, i, j] is the rank of column i among rows where j is present."""
-    total = 0
-    for batch in batches:
-        width = batch.shape[1]
-        gap = np.full(width, np.nan)
-        x = np.stack([np.stack([gap if v is None else np.asarray(v, dtype=float) for v in batch[c]]) for c in batch], axis=1)
-        y = x.transpose(0, 2, 1)
-        both = ~np.isnan(x) & ~np.isnan(y)
-        x, y = np.where(both, x, 0.0), np.where(both, y, 0.0)
-        total = total + np.stack([both.sum(0), x.sum(0), (x * x).sum(0), (x * y).sum(0)])
-    if not np.isscalar(total):
-        yield _pair_rows(*total)
-
-
-def _correlations(sums: DataFrame, columns: Sequence[str], sizes) -> DataFrame:
-    """One row per pair from summed partitions; null when a side does not vary beyond rounding error.
-
-    `sizes` is an array column with the largest magnitude per column before centring.
-    """
-    total = sums.groupBy("left", "right").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
-    vx, vy = F.expr("sxx - sx * sx / n"), F.expr("syy - sy * sy / n")
-    limit_x, limit_y = 1e-12 * F.get(sizes, F.col("left")), 1e-12 * F.get(sizes, F.col("right"))
-    varies = (vx > F.col("n") * limit_x * limit_x) & (vy > F.col("n") * limit_y * limit_y)
-    rho = F.when(F.col("n") > 1, F.when(varies, F.expr("sxy - sx * sy / n") / F.sqrt(vx * vy)))
-    names = F.array(*[F.lit(c) for c in columns])
-    return total.select(F.get(names, F.col("left")).alias("left"), F.get(names, F.col("right")).alias("right"), rho.alias("rho"))
-
-
-def pearson_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Correlation of every column pair over the rows where both are present.
-
-    Values are centred on the column means, then each partition adds up its pairs by matrix products on Arrow
-    batches; only one row per pair leaves a partition. So the plan stays small for wide tables.
-    """
-    numbers = df.select(*[no_nan(F.col(c).cast("double")).alias(c) for c in columns])
-    facts = numbers.agg(
-        F.array(*[F.avg(c) for c in columns]).alias("means"), F.array(*[F.max(F.abs(c)) for c in columns]).alias("sizes"))
-    fact = facts.select(F.struct("means", "sizes")).scalar()
-    centred = numbers.select(*[(F.col(c) - F.get(fact["means"], F.lit(i))).alias(c) for i, c in enumerate(columns)])
-    return _correlations(centred.mapInPandas(_number_sums, PAIR_SUMS), columns, fact["sizes"])
-
-
-def spearman_matrix(df: DataFrame, columns: Sequence[str], key: Sequence[str]) -> DataFrame:
-    """Rank correlation of every column pair over the rows where both are present.
-
-    A value's rank depends on which other column must be present, so each distinct value carries one count
-    per other column; one ordering of the values then yields all of its ranks, centred on their exact means.
-    Ranks return to the rows by an equi-join on (feature, value) and are then summed per partition.
-    """
-    from .ordering import running_counts
-
-    clean = df.select(*key, *[no_nan(F.col(c).cast("double")).alias(c) for c in columns])
-    flags = [f"has_{c}" for c in columns]
-    present = [F.col(c).isNotNull().cast("long").alias(flag) for c, flag in zip(columns, flags)]
-    long = clean.select(*key, *columns, *present).unpivot([*key, *flags], list(columns), "feature", "value")
-    long = long.where(F.col("value").isNotNull())
-    counts = long.groupBy("feature", "value").agg(*[F.sum(f).alias(f) for f in flags])
-    ranked = running_counts(counts, "value", flags, ["feature"], groups=len(columns))
-    # rank from 1 less its mean (total + 1) / 2
-    centred = [F.col(f"{f}_before") + (F.col(f) - F.col(f"{f}_total")) / 2 for f in flags]
-    ranks = ranked.select("feature", "value", F.array(*centred).alias("ranks"))
-    placed = long.select(*key, "feature", "value").join(ranks, ["feature", "value"])
-    wide = placed.groupBy(*key).agg(*[
-        F.max(F.when(F.col("feature") == c, F.col("ranks"))).alias(c) for c in columns
-    ])
-    sums = wide.select(*columns).mapInPandas(_rank_sums, PAIR_SUMS)
-    # ranks are whole or half numbers, so a side that does not vary sums to exactly 0
-    return _correlations(sums, columns, F.array(*[F.lit(0.0) for _ in columns]))
