@@ -92,8 +92,8 @@ def test_row_vector(spark):
 
 
 def test_distinct_items(spark):
-    values = ["Auto Loan, Personal Loan, and Auto Loan", "No Loan", "Home Loan", None]
-    assert one(spark, values, "string", D.distinct_items("x")) == [2, 0, 1, None]
+    values = ["Auto Loan, Personal Loan, and Auto Loan", "No Loan", "Home Loan", None, "", " a ,, and b,a,", "a and b"]
+    assert one(spark, values, "string", D.distinct_items("x")) == [2, 0, 1, None, 0, 2, 1]
 
 
 def test_loan_id_parts_and_run_id(spark):

@@ -38,10 +38,14 @@ def test_batch_and_stream_and_a_month_sent_again(spark, tmp_path):
         backfill.build_silver(spark, "clickstream", root, "2024-03-01", "2024-05-01")
 
 
-def test_huge_arrears_do_not_end_the_job(spark):
-    df = spark.createDataFrame([(9e6, 1e-4), (250.0, 100.0)], "o double, d double")
-    rows = df.select(loans.installments_missed("o", "d").alias("m"), F.lit(datetime.date(2024, 3, 1)).alias("s"))
-    assert [tuple(r) for r in rows.select("m", loans.first_missed_date("s", "m")).collect()] == [(0, None), (3, datetime.date(2023, 12, 1))]
+def test_huge_arrears_stay_bad_loans(spark):
+    df = spark.createDataFrame([(9e6, 1e-4), (1e5, 1.0), (250.0, 100.0), (-9e6, 1e-4)], "o double, d double")
+    rows = df.select("o", loans.installments_missed("o", "d").alias("m"), F.lit(datetime.date(2024, 3, 1)).alias("s"))
+    dated = rows.withColumn("first", loans.first_missed_date("s", "m"))
+    found = dated.withColumn("label", loans.delinquency_flag(loans.days_past_due("s", "first", "o"), 30))
+    assert [tuple(r) for r in found.select("m", "first", "label").collect()] == [
+        (2**31 - 1, datetime.date(124, 3, 1), 1), (100_000, datetime.date(124, 3, 1), 1),
+        (3, datetime.date(2023, 12, 1), 1), (1 - 2**31, None, 0)]
 
 
 def test_null_keys_and_groups(spark):

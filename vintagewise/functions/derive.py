@@ -42,11 +42,9 @@ def positive_flag(c) -> Column:
 
 
 def distinct_items(c, none_text: str = "No Loan") -> Column:
-    """Different entries in a comma list with 'and'; 0 for `none_text`, null for null."""
-    text = col(c)
-    entries = F.split(F.regexp_replace(text, " and ", ""), ",")
-    named = F.filter(F.transform(entries, lambda e: F.trim(e)), lambda e: e != "")
-    return F.when(text == none_text, 0).otherwise(F.array_size(F.array_distinct(named)))
+    """Number of different names in a list like 'a, b, and c'; 0 for `none_text`, null for null."""
+    names = F.split(F.trim(col(c)), r"\s*,(?:\s*and\s)?\s*")
+    return F.when(col(c) == none_text, 0).otherwise(F.array_size(F.array_distinct(F.array_remove(names, ""))))
 
 
 def row_mean(columns: Sequence[str], places: int = 2) -> Column:

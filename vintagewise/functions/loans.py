@@ -5,20 +5,22 @@ from pyspark.sql import Column, functions as F
 from .calendar import col
 
 MOST_INSTALLMENTS = 12 * 1900  # months back from now to the first year
+MOST_INT = 2**31 - 1
 
 
 def installments_missed(overdue, due) -> Column:
-    """Installments behind, begun ones counting whole; 0 when nothing can be divided, or when so many would be behind
-    that no date could be given to the first.
+    """Installments behind, begun ones counting whole; 0 when nothing can be divided.
 
     Division noise (0.21 / 0.07 is a little over 3) does not count as a begun installment.
     """
     behind = F.ceil(F.round(F.try_divide(col(overdue), col(due)), 9))
-    return F.coalesce(F.when(behind <= MOST_INSTALLMENTS, behind), F.lit(0)).cast("int")
+    return F.least(F.greatest(F.coalesce(behind, F.lit(0)), F.lit(-MOST_INT)), F.lit(MOST_INT)).cast("int")
 
 
 def first_missed_date(snapshot, missed) -> Column:
-    return F.when(col(missed) > 0, F.add_months(col(snapshot), -col(missed)))
+    """Month of the first missed installment, at most MOST_INSTALLMENTS back: arrears that no calendar reaches get that
+    date, so that they stay the worst loans."""
+    return F.when(col(missed) > 0, F.add_months(col(snapshot), -F.least(col(missed), F.lit(MOST_INSTALLMENTS))))
 
 
 def days_past_due(snapshot, first_missed, overdue) -> Column:
