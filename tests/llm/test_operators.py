@@ -2,17 +2,19 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from vintagewise.llm import bpe, ctw, digest, minhash, mixing, pii, quality, secrets, token_file, warc
+from vintagewise.llm import bpe, common, ctw, digest, minhash, mixing, pii, quality, secrets, token_file, warc
 from vintagewise.llm.lexicon import Lexicon, compile_lexicon
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -162,6 +164,19 @@ def test_token_files(odd, by_id, tokenizer, tmp_path):
     assert not file.sequence(0).flags.owndata
 
 
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+def test_units_of_slices_encode_as_the_library_does(tokenizer, kind):
+    draw = random.Random(7)
+    letters = [*"abXYZ019.,;'s<|>\t\n\x0b\x0c\x00\x1c\x7f\x85\xa0éÉßΣσİĸ\u0338\u0307\u3000中文한😀", "<|endoftext|>", "'re", "'LL", "<|", " ", "  "]
+    texts = ["".join(draw.choice(letters) for _ in range(draw.randrange(30))) for _ in range(4000)] + [None, "", " ", "\u0338>"]
+    encoder = token_file.UnitEncoder(PATH, 2)
+    for part in common.slices([pa.record_batch({"text": pa.array(texts, kind)})], limit=20_000):
+        counts, ids = encoder(part.column("text"))
+        cut = np.split(ids, np.cumsum(counts)[:-1])
+        wanted = [[*tokenizer.encode(t or "", add_special_tokens=False).ids, 2] for t in part.column("text").to_pylist()]
+        assert [c.tolist() for c in cut] == wanted
+
+
 def test_token_files_of_nothing_and_repeats(spark, nothing):
     assert token_file.read_documents(token_file.write_tokens(nothing, PATH, end=2)).count() == 0
     df = spark.createDataFrame([(1, "a"), (1, "a"), (None, None)], "doc_id bigint, text string")

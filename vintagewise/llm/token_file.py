@@ -14,29 +14,33 @@ their text; null ids come first; an empty table gives an empty manifest; further
 import os
 import uuid
 import zlib
-from collections import defaultdict
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import stored
-from .bpe import SPLIT_ASCII, units
-from .common import filesystem, shared_path, slices, text_bytes
+from .bpe import SPLIT_ASCII
+from .common import filesystem, shared_path, slices
 
 LENGTH = 1024  # ids per sequence
 ROWS = 256  # sequences per record batch
-MARKS = frozenset({b".", b",", b";", b":", b"!", b"?"})  # behind a word, a piece of their own
 REMEMBERED = 500_000  # units whose ids a task remembers
+JOINED = 2000  # units that the library encodes in one call
 MANIFEST = "shard int, file string, docs_file string, n_docs bigint, n_tokens bigint"
 
 
 class UnitEncoder:
-    """The tokenizers library, called once per distinct unit between blanks."""
+    """The tokenizers library on the distinct units between blanks, which Arrow finds and numbers; a task remembers them.
 
-    def __init__(self, path: str):
+    The ids of all remembered units lie in one array, unit k's at `starts[k]`; place 0 is the end id.
+    """
+
+    def __init__(self, path: str, end: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -45,44 +49,80 @@ class UnitEncoder:
         self.tokenizer.no_padding()
         self.model = self.tokenizer.model
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
-        self.known: dict[bytes, np.ndarray] = {}
-
-    def _encode(self, unit: bytes) -> list[int]:
+        self.end = end
+        # a special token is cut out before anything else is looked at, so it keeps units apart in one call; one that takes
+        # blanks with it, or is sought in normalised text, would not
+        apart = [(i, t) for i, t in self.tokenizer.get_added_tokens_decoder().items()
+                 if t.special and t.content.startswith("<|") and not (t.normalized or t.lstrip or t.rstrip or t.single_word)]
+        self.border, self.border_text = (apart[0][0], apart[0][1].content) if apart else (None, "")
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known = pa.array([], pa.string())
+        self.flat, self.sizes = np.array([self.end], self.kind), np.ones(1, np.int64)
+
+    def _plain(self, unit: str) -> list[int]:
         """Pieces of printable ASCII are as the normaliser and splitter leave them, so the library's model takes them as they are."""
-        if unit.isalpha():
-            return [token.id for token in self.model.tokenize(unit.decode().lower())]
-        if unit[:-1].isalpha() and unit[-1:] in MARKS:
-            word = self.known.get(unit[:-1])
-            return [*(self._encode(unit[:-1]) if word is None else word.tolist()), *self._encode_plain(unit[-1:])]
-        return self._encode_plain(unit)
-
-    def _encode_plain(self, unit: bytes) -> list[int]:
-        text = unit.decode(errors="replace")
-        if unit.isascii() and text.isprintable() and "<|" not in text:
-            return [token.id for piece in SPLIT_ASCII.findall(text.lower()) for token in self.model.tokenize(piece)]
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def __call__(self, texts: Sequence[bytes], end: int) -> tuple[np.ndarray, np.ndarray]:
-        """(number of ids per text, all ids), each text followed by `end`."""
-        number: dict[bytes, int] = defaultdict()
-        number.default_factory = number.__len__
-        places = [np.fromiter(map(number.__getitem__, units(text)), np.int64) for text in texts]
+        lower = unit.lower()
+        pieces = [lower] if lower.isalpha() else SPLIT_ASCII.findall(lower)
+        return [token.id for piece in pieces for token in self.model.tokenize(piece)]
+
+    def _apart(self, texts: list[str]) -> Iterator[list[int]]:
+        """Ids of each unit from calls that take many, or one call each where the file has no token to keep them apart."""
+        if self.border is None:
+            yield from (self.tokenizer.encode(u, add_special_tokens=False).ids for u in texts)
+            return
+        for at in range(0, len(texts), JOINED):
+            part = texts[at:at + JOINED]
+            ids = self.tokenizer.encode(self.border_text.join(part), add_special_tokens=False).ids
+            ends = [*(i for i, code in enumerate(ids) if code == self.border), len(ids)]
+            start = 0
+            for stop in ends:
+                yield ids[start:stop]
+                start = stop + 1
+
+    def _learn(self, fresh: pa.Array) -> None:
+        texts = [u.decode(errors="replace") for u in fresh.cast(pa.large_binary()).to_pylist()]
+        codes: list[list[int]] = [[]] * len(texts)
+        others = []
+        for i, text in enumerate(texts):
+            if "<|" in text:
+                codes[i] = self.tokenizer.encode(text, add_special_tokens=False).ids
+            elif text.isascii() and text.isprintable():
+                codes[i] = self._plain(text)
+            else:
+                others.append(i)
+        for i, ids in zip(others, self._apart([texts[i] for i in others]), strict=True):
+            codes[i] = ids
+        self.known = pa.concat_arrays([self.known, fresh])
+        self.sizes = np.concatenate([self.sizes, np.fromiter(map(len, codes), np.int64, len(codes))])
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(codes), self.kind)])
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids per text, all ids), each text followed by the end id."""
+        # not large_string: lower-casing a slice of one reads the wrong bytes (pyarrow 23)
+        column = pc.fill_null(texts.cast(pa.string()), "")
+        lower = pc.and_(pc.string_is_ascii(column), pc.invert(pc.match_substring(column, "<|")))
+        cut = pc.ascii_split_whitespace(pc.if_else(lower, pc.ascii_lower(column), column))
+        borders = cut.offsets.to_numpy()
+        found = cut.values.dictionary_encode()
+        distinct = found.dictionary
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        fresh = [u for u in number if u not in self.known]
-        for unit in fresh:
-            self.known[unit] = np.array(self._encode(unit), self.kind)
-        pool = [self.known[u] for u in number]
-        pool.append(np.array([end], self.kind))
-        sizes = np.fromiter(map(len, pool), np.int64, len(pool))
-        flat, starts = np.concatenate(pool), np.cumsum(sizes) - sizes
-        last = len(pool) - 1
-        order = np.concatenate([np.append(p, last) for p in places])
-        counts = sizes[order]
+            self._forget()
+        place = pc.index_in(distinct, value_set=self.known)
+        fresh, held = distinct.filter(place.is_null()), len(self.known)
+        place = place.fill_null(-1).to_numpy() + 1  # place 0 is the end id
+        if len(fresh):
+            place[place == 0] = held + 1 + np.arange(len(fresh))
+            self._learn(fresh)
+
+        order = np.insert(place[found.indices.to_numpy()], borders[1:] - borders[0], 0)
+        counts = self.sizes[order]
         ends = np.cumsum(counts)
-        ids = flat[np.repeat(starts[order] - ends + counts, counts) + np.arange(int(ends[-1]))]
-        borders = np.cumsum([p.size + 1 for p in places]) - 1
-        return np.diff(ends[borders], prepend=0), ids
+        starts = np.cumsum(self.sizes) - self.sizes
+        ids = self.flat[np.repeat(starts[order] - ends + counts, counts) + np.arange(int(ends[-1]) if ends.size else 0)]
+        last = borders[1:] - borders[0] + np.arange(len(column))
+        return np.diff(ends[last], prepend=0), ids
 
 
 class _Shard:
@@ -139,9 +179,9 @@ def write_tokens(docs: DataFrame, path: str, end: int, folder: str | None = None
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = encoder = None
         for batch in slices(batches, "text"):
-            encoder = encoder or UnitEncoder(path)
+            encoder = encoder or UnitEncoder(path, end)
             shard = shard or _Shard(folder, encoder.kind, length, rows)
-            shard.add(batch.column("doc_id"), *encoder(text_bytes(batch.column("text")), end))
+            shard.add(batch.column("doc_id"), *encoder(batch.column("text")))
         if shard:
             shard.close()
             yield pa.record_batch({
