@@ -3,7 +3,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from vintagewise.operators import correlation, distribution, ordering, performance
+from vintagewise.operators import correlation, distribution, history, ordering, performance
 
 numbers = st.lists(st.integers(-50, 50).map(lambda i: i / 4), min_size=2, max_size=60)
 
@@ -123,3 +123,41 @@ def test_correlations_match_pandas(spark):
         assert spearman[(a, b)] == pytest.approx(both[a].rank().corr(both[b].rank()))
         assert pearson[(a, b)] == pytest.approx(both[a].corr(both[b]))
     assert spearman[("a", "flat")] is None and pearson[("a", "flat")] is None
+
+
+def test_ranges_grow_with_the_number_of_values(spark):
+    counts = spark.range(10_000_000).select(F.col("id").cast("double").alias("value"), F.lit(1).alias("n"))
+    ranges = ordering.value_ranges(counts, "value", ["n"]).groupBy("_range").agg(
+        F.count("*").alias("rows"), F.min("value").alias("low"), F.max("value").alias("high")).orderBy("_range").collect()
+    assert len(ranges) > 10_000_000 / ordering.RANGE_VALUES / 2
+    assert max(r["rows"] for r in ranges) < 40 * ordering.RANGE_VALUES and sum(r["rows"] for r in ranges) == 10_000_000
+    assert all(a.high < b.low for a, b in zip(ranges, ranges[1:], strict=False))
+
+
+@pytest.mark.parametrize("most", [3, 1 << 16])
+def test_running_counts_in_many_ranges(spark, monkeypatch, most):
+    monkeypatch.setattr(ordering, "RANGE_VALUES", 8)
+    monkeypatch.setattr(ordering, "MOST_CUTS", most)
+    df = spark.range(3000).select((F.col("id") % 2).alias("g"), ((F.col("id") * 7919) % 1201).alias("value"))
+    for by in (["g"], []):
+        counts = ordering.value_counts(df, "value", by)
+        out = ordering.running_counts(counts, "value", ["n"], by).toPandas()
+        assert len(out) == counts.count()
+        for _, part in out.groupby(by) if by else [(0, out)]:
+            part = part.sort_values("value")
+            assert (part.n_before == part.n.cumsum() - part.n).all() and (part.n_total == part.n.sum()).all()
+
+
+def test_order_statistics_need_no_sorting_aggregate_and_no_nested_loop(spark):
+    df = spark.range(5000).select(
+        (F.col("id") % 97).cast("double").alias("value"), (F.col("id") % 2).alias("flag"), F.col("id").cast("string").alias("name"))
+    for out in (history.cumulative_share(df, "name", "value"), distribution.quantile_bin_rates(df, "value", "flag")):
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan and "NestedLoop" not in plan and "CartesianProduct" not in plan
+
+
+def test_order_statistics_of_nothing(spark):
+    empty = frame(spark, [])
+    assert ordering.running_counts(ordering.value_counts(empty, "value"), "value", ["n"]).count() == 0
+    assert ordering.quantile_points(ordering.value_counts(empty, "value"), "value").first().points == []

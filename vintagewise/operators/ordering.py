@@ -1,19 +1,21 @@
 """Exact order statistics that never gather one group in one task.
 
-Rows are first counted per distinct value, which combines before the shuffle. Each group is then cut into
-ranges at values drawn by hash: the draw is a pure function of the data, so it comes out the same whenever
-Spark recomputes it, and it only balances the work, never the result. Running counts are taken inside a
-range and shifted by the totals of the ranges below. Rows whose group key is null drop out.
+Rows are first counted per distinct value, which combines before the shuffle. Each group is then cut into ranges at the
+values whose hash falls below a threshold, one in RANGE_VALUES: a group gets as many ranges as its own number of values
+asks for, without being counted first. The draw is a pure function of the data, so it comes out the same whenever Spark
+recomputes it, and it only balances the work, never the result. A range longer than 40 * RANGE_VALUES has a chance of
+e^-40 per value. Running counts are taken inside a range and shifted by the totals of the ranges below. Rows whose
+group key is null drop out.
 """
 
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .joins import small_side
+from .joins import one_value, small_side
 
-RANGES = 256
-STEP = 16
+RANGE_VALUES = 1 << 14  # distinct values of a range, on average
+MOST_CUTS = 1 << 16  # of one group; beyond it every second, third, ... cut is taken, and ranges grow
 
 
 def value_counts(df: DataFrame, value: str, by: Sequence[str] = (), **weights) -> DataFrame:
@@ -23,33 +25,38 @@ def value_counts(df: DataFrame, value: str, by: Sequence[str] = (), **weights) -
     return counted.agg(*[total.alias(name) for name, total in sums.items()])
 
 
+def value_ranges(counts: DataFrame, value: str, weights: Sequence[str], by: Sequence[str] = (),
+                 groups: int | None = None) -> DataFrame:
+    """Adds `_range`, which rises with the value in each group, and `_group`, a struct with the group's sum of each weight."""
+    # drawn values stand for themselves and all others fall together, so few short rows are left of a group
+    drawn = F.pmod(F.xxhash64(value), F.lit(RANGE_VALUES)) == 0
+    sums = [F.sum(w).alias(w) for w in weights]
+    few = counts.groupBy(*by, F.when(drawn, F.col(value)).alias("_cut")).agg(*sums)
+    folded = few.groupBy(*by).agg(F.array_sort(F.collect_list("_cut")).alias("cuts"), *sums)
+    every = F.ceil(F.greatest(F.size("cuts"), F.lit(1)) / MOST_CUTS)
+    folded = folded.withColumn("cuts", F.filter("cuts", lambda _, i: i % every == 0))
+    step = F.ceil(F.sqrt(F.greatest(F.size("cuts"), F.lit(1)))).cast("int")
+    folded = folded.withColumn("step", step).withColumn("coarse", F.filter("cuts", lambda _, i: i % F.col("step") == 0))
+    group = F.struct("cuts", "step", "coarse", *weights)
+    if by:
+        marked = counts.join(small_side(folded.select(*by, group.alias("_group")), groups), list(by))
+    else:
+        marked = counts.withColumn("_group", one_value(folded, group))
+    # every step-th cut first, then the cuts from there
+    here, step = F.col(value), F.col("_group.step")
+    block = F.greatest(F.size(F.filter("_group.coarse", lambda cut: cut <= here)) - 1, F.lit(0)) * step
+    nearby = F.slice("_group.cuts", block + 1, step)
+    return marked.withColumn("_range", block + F.size(F.filter(nearby, lambda cut: cut <= here)))
+
+
 def running_counts(counts: DataFrame, value: str, weights: Sequence[str], by: Sequence[str] = (),
                    groups: int | None = None) -> DataFrame:
     """Adds `<w>_before` (sum over smaller values) and `<w>_total` (sum over the group) per weight.
 
-    `counts` has one row per group and value; the first weight must be finite. `groups` is a proven bound on
-    the number of groups, if known.
+    `counts` has one row per group and value. `groups` is a proven bound on the number of groups, if known.
     """
     columns = counts.columns
-    if not by:
-        # one group, keyed from the data so that the plan stays an equi-join
-        counts, by, groups = counts.withColumn("_one", F.col(weights[0]) * 0), ["_one"], 1
-    draw = F.xxhash64(value)
-    drawn = counts.groupBy(*by, F.pmod(draw, F.lit(RANGES)).alias("_draw")).agg(
-        F.min_by(value, draw).alias("_cut"), *[F.sum(w).alias(w) for w in weights]
-    )
-    folded = drawn.groupBy(*by).agg(
-        F.array_sort(F.collect_list("_cut")).alias("cuts"), *[F.sum(w).alias(w) for w in weights])
-    coarse = F.filter("cuts", lambda cut, i: i % STEP == 0)
-    cuts = folded.select(*by, F.struct("cuts", coarse.alias("coarse"), *weights).alias("_group"))
-    marked = counts.join(small_side(cuts, groups), list(by))
-    # every STEP-th cut first, then the STEP cuts from there
-    here = F.col(value)
-    reached = F.size(F.filter("_group.coarse", lambda cut: cut <= here))
-    nearby = F.slice("_group.cuts", F.greatest(reached - 1, F.lit(0)) * STEP + 1, F.lit(STEP))
-    fine = F.size(F.filter(nearby, lambda cut: cut <= here))
-    marked = marked.withColumn("_range", F.greatest(reached - 1, F.lit(0)) * STEP + fine)
-
+    marked = value_ranges(counts, value, weights, by, groups)
     # a range starts at the group's total less everything from it upwards; both branches of the plan then
     # need the same columns of `counts`, so its shuffle is done once and reused
     upwards = Window.partitionBy(*by).orderBy("_range").rowsBetween(0, Window.unboundedFollowing)
