@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from .joins import one_value, small_side
 
-RANGE_VALUES = 1 << 14  # distinct values of a range, on average
+RANGE_VALUES = 1 << 11  # distinct values of a range, on average
 MOST_CUTS = 1 << 16  # of one group; beyond it every second, third, ... cut is taken, and ranges grow
 
 
@@ -46,7 +46,8 @@ def value_ranges(counts: DataFrame, value: str, weights: Sequence[str], by: Sequ
     here, step = F.col(value), F.col("_group.step")
     block = F.greatest(F.size(F.filter("_group.coarse", lambda cut: cut <= here)) - 1, F.lit(0)) * step
     nearby = F.slice("_group.cuts", block + 1, step)
-    return marked.withColumn("_range", block + F.size(F.filter(nearby, lambda cut: cut <= here)))
+    # never null, and said so: else the check for it is pushed below the counts and done for every row
+    return marked.withColumn("_range", F.coalesce(block + F.size(F.filter(nearby, lambda cut: cut <= here)), F.lit(0)))
 
 
 def running_counts(counts: DataFrame, value: str, weights: Sequence[str], by: Sequence[str] = (),
