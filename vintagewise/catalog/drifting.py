@@ -6,6 +6,7 @@ from ..functions.calendar import date_lit
 from ..functions.clean import valid_score
 from ..operators import drift, profile
 from ..schemas import REFERENCE_CATEGORIES
+from ..session import stored
 from . import layers
 from .registry import derived, query, rounded
 
@@ -237,9 +238,14 @@ MODEL_COUNT = 3
 
 
 def oot_scores(t):
-    """Valid scores of the cohorts whose labels fell in the last two months before training."""
+    """Valid scores of the cohorts whose labels fell in the last two months before training.
+
+    Written once: a test on the value is otherwise spelled out down to the order's own columns and made for every pair
+    of order and model, in a method too long for the JVM to compile.
+    """
     window = F.col("snapshot_date").between(F.add_months("train_date", -8), F.add_months("train_date", -7))
-    return t("model_scores").where(window).select("model_name", valid_score("model_predictions").alias("value"))
+    scores = t("model_scores").where(window).select("model_name", valid_score("model_predictions").alias("value"))
+    return t.once("oot_scores", lambda: stored(scores, "oot_scores"))
 
 
 def score_reference(t):

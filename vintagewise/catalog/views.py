@@ -19,22 +19,35 @@ class Dialect:
     add_months: Callable[[str, str], str]
     installments: str
     nan: str
+    # where scores come from, the month of an order there and the training date of a model
+    scored: str
+    month: str
+    trained: str
 
 
+CUSTOMER = "concat('CUS_0x', lower(hex({})))"
+MONTH = "cast(date_trunc('month', {}) as date)"
+TRAINED = "cast(replace(substr(model, 14), '_', '-') as date)"
+
 SPARK = Dialect(
     add_months=lambda d, n: f"add_months({d}, cast({n} as int))",
     installments="explode(sequence(0, 10))",
     nan="cast('NaN' as double)",
+    # dates are taken once per order and once per model: in the condition of a join they cost as much per pair
+    scored=f"""(select o_orderkey, o_custkey, {MONTH.format('o_orderdate')} as month from orders) as dated
+      join (select model, model_no, {TRAINED} as trained from models) as due""",
+    month="month",
+    trained="trained",
 )
 DUCKDB = Dialect(
     add_months=lambda d, n: f"cast({d} + to_months(cast({n} as int)) as date)",
     installments="cast(unnest(generate_series(0, 10)) as int)",
     nan="cast('NaN' as double)",
+    scored="orders join models",
+    month=MONTH.format("o_orderdate"),
+    trained=TRAINED,
 )
 
-CUSTOMER = "concat('CUS_0x', lower(hex({})))"
-MONTH = "cast(date_trunc('month', {}) as date)"
-
 
 def _amount(cents: str) -> str:
     """Text like '123.45' from whole cents, without formatting a floating number."""
@@ -153,16 +166,15 @@ def models(d: Dialect) -> str:
 def model_scores(d: Dialect) -> str:
     """A score per loan and model, from the cohorts whose labels closed the training onwards; some scores are
     no probabilities."""
-    trained = "cast(replace(substr(model, 14), '_', '-') as date)"
     return f"""
       select concat(cast(o_orderkey as string), '_', {CUSTOMER.format('o_custkey')}, '_',
-                    replace(cast({MONTH.format('o_orderdate')} as string), '-', '_')) as loan_id,
-             {CUSTOMER.format('o_custkey')} as Customer_ID, {MONTH.format('o_orderdate')} as snapshot_date,
-             model as model_name, {trained} as train_date,
+                    replace(cast({d.month} as string), '-', '_')) as loan_id,
+             {CUSTOMER.format('o_custkey')} as Customer_ID, {d.month} as snapshot_date,
+             model as model_name, {d.trained} as train_date,
              case when o_orderkey % 101 = 0 then null when o_orderkey % 103 = 0 then {d.nan}
                   when o_orderkey % 107 = 0 then 1.5e0
                   else ((o_orderkey * 7919 + model_no * 131) % 750 + 25 * (o_orderkey % 9)) / 1000e0 end as model_predictions
-      from orders join models on {MONTH.format('o_orderdate')} >= {d.add_months(trained, '-8')}"""
+      from {d.scored} on {d.month} >= {d.add_months(d.trained, '-8')}"""
 
 
 def predictions(d: Dialect) -> str:
