@@ -379,6 +379,12 @@ def _trained(t, settings=SETTINGS, **search):
     return training.train(layers.stored_labels(t), layers.stored_features(t), MODELS[1], settings, check=False, **search)
 
 
+def _trained_alone(t, settings=SETTINGS, **search):
+    """For queries that read nothing but the model's own rows: no month outside its windows is cleaned, joined and written."""
+    labels, features = training.window_inputs(layers.labels(t), layers.features(t), MODELS[1])
+    return training.train(stored(labels, "window_labels"), stored(features, "window_features"), MODELS[1], settings, check=False, **search)
+
+
 @query("train_score")
 def _(t):
     model = _trained(t)
@@ -388,16 +394,16 @@ def _(t):
 
 @query("split_performance")
 def _(t):
-    return training.split_performance(_trained(t))
+    return training.split_performance(_trained_alone(t))
 
 
 @query("feature_importance")
 def _(t):
-    return training.importance(_trained(t))
+    return training.importance(_trained_alone(t))
 
 
 @query("random_search")
 def _(t):
-    return training.split_performance(_trained(t, None))
+    return training.split_performance(_trained_alone(t, None))
 
 

@@ -32,6 +32,16 @@ def feature_columns(df: DataFrame, exclude: Sequence[str] = S.NOT_FEATURES) -> t
     return numeric_columns(df, skip), other_columns(df, skip)
 
 
+def window_inputs(labels: DataFrame, features: DataFrame, train_date, train_months: int = S.TRAIN_MONTHS,
+                  oot_months: int = S.OOT_MONTHS, mob: int = S.LABEL_MOB) -> tuple[DataFrame, DataFrame]:
+    """Labels of the two windows, and the features of the months `mob` earlier: all that training reads of both stores."""
+    bounds = training_windows(train_date, train_months, oot_months)
+    first, last = bounds["train_start"], bounds["oot_end"]
+    month = F.col("snapshot_date")
+    earlier = month.between(F.trunc(F.add_months(first, -mob), "MM"), F.last_day(F.add_months(last, -mob)))
+    return labels.where(month.between(first, last)), features.where(earlier)
+
+
 def training_rows(labels: DataFrame, features: DataFrame, train_date, check: bool = True,
                   train_months: int = S.TRAIN_MONTHS, oot_months: int = S.OOT_MONTHS, mob: int = S.LABEL_MOB) -> DataFrame:
     """Labels of the two windows with their features.
@@ -42,9 +52,8 @@ def training_rows(labels: DataFrame, features: DataFrame, train_date, check: boo
     bounds = training_windows(train_date, train_months, oot_months)
     first, last = bounds["train_start"], bounds["oot_end"]
     earlier = [F.trunc(F.add_months(first, -mob), "MM"), F.last_day(F.add_months(last, -mob))]
-    inside = labels.where(F.col("snapshot_date").between(first, last))
+    inside, known = window_inputs(labels, features, train_date, train_months, oot_months, mob)
     windowed = splits.time_split(inside, train_date, train_months, oot_months)
-    known = features.where(F.col("snapshot_date").between(*earlier))
     if check:
         spark = labels.sparkSession
         require_rows(windowed, f"no labels in the windows of {train_date}")
