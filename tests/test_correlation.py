@@ -75,3 +75,20 @@ def test_no_python_in_the_plan(spark):
     for matrix in (correlation.spearman_matrix, correlation.pearson_matrix):
         plan = matrix(df, ["a", "b"])._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "InPandas" not in plan and "SortAggregate" not in plan
+
+
+def aggregates(plan):
+    """Number of functions of every aggregate of a plan."""
+    found = [plan.aggregateExpressions().size()] if plan.nodeName() == "Aggregate" else []
+    children = plan.children()
+    return sum((aggregates(children.apply(i)) for i in range(children.size())), found)
+
+
+def test_no_table_is_as_wide_as_columns_times_classes(spark):
+    """One aggregate per column and class made every cell that was shuffled as wide as the whole row."""
+    rng = np.random.default_rng(14)
+    pdf = pd.DataFrame({f"x{i}": np.where(rng.random(60) < 0.3, np.nan, rng.integers(0, 9, 60)) for i in range(9)})
+    matrix = correlation.spearman_matrix(frame(spark, pdf), list(pdf))
+    # a column's own sums: two for each of the nine classes, and its name
+    assert max(aggregates(matrix._jdf.queryExecution().optimizedPlan())) <= 2 * 9 + 1
+    agree(pairs(matrix), expected(pdf, "spearman"))

@@ -90,7 +90,7 @@ def _with_ranks(long: DataFrame, ranks: DataFrame, columns: int) -> DataFrame:
     share = BROADCAST_ROW_LIMIT // columns
     heavy = small_side(ranks.where(F.col("n") * share > F.col("n_total")), columns * share).drop("n", "n_total")
     light = ranks.where(F.col("n") * share <= F.col("n_total")).drop("n", "n_total")
-    key = ["feature", "value"]
+    key = ["place", "value"]
     return long.join(heavy, key).unionByName(long.join(heavy, key, "left_anti").join(light, key))
 
 
@@ -99,47 +99,58 @@ def spearman_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     A value's rank depends on which rows the other column has, so it is taken once per class of columns that are present
     together: usually a handful. All classes' ranks come from one ordering of the distinct values, centred on their exact
-    means. They return to the rows by (column, value) and meet there by the row's own content, with no key to be given:
-    equal rows become one, weighted by their number. A row carries at most CLASSES ranks a column at a time.
+    means, so that their sums of squares are known per column and class and only the products are summed over rows. The
+    ranks return by (column, value) and are gathered by a number given to the row when it was stored, as a list of
+    the cells it has; no table is as wide as columns times classes. A row carries at most CLASSES ranks a column at a time.
     """
     width = len(columns)
     values = _numbers(df, columns)
-    rows = stored(values.withColumns({
-        "h1": F.xxhash64(F.lit(1), *values.columns), "h2": F.xxhash64(F.lit(2), *values.columns)}), "correlated")
+    rows = stored(values.withColumn("row", F.monotonically_increasing_id()), "correlated")
     classes = presence_classes(rows.select(*values.columns))
     firsts = [classes.index(k) for k in range(max(classes) + 1)]
     flags = [f"with_{k}" for k in range(len(firsts))]
-    flagged = rows.select("*", *[F.col(f"c{i}").isNotNull().cast("long").alias(flag) for i, flag in zip(firsts, flags)])
+    cell = F.posexplode(F.array(*values.columns)).alias("place", "value")
 
     # ranks per column and distinct value
-    number = {f"c{i}": i for i in range(width)}
-    counted = flagged.drop("h1", "h2").unpivot(flags, list(number), "feature", "value").where("value is not null")
-    counts = counted.groupBy("feature", "value").agg(F.count("*").alias("n"), *[F.sum(f).alias(f) for f in flags])
-    ranked = running_counts(counts, "value", ["n", *flags], ["feature"], width)
+    flagged = [F.col(f"c{i}").isNotNull().cast("long").alias(flag) for i, flag in zip(firsts, flags)]
+    counted = rows.select(*flagged, cell).where("value is not null")
+    counts = counted.groupBy("place", "value").agg(F.count("*").alias("n"), *[F.sum(f).alias(f) for f in flags])
+    ranked = running_counts(counts, "value", ["n", *flags], ["place"], width)
     # rank from 1 less its mean (total + 1) / 2
     centred = F.array(*[F.col(f"{f}_before") + (F.col(f) - F.col(f"{f}_total")) / 2 for f in flags])
-    ranks = stored(ranked.select("feature", "value", "n", "n_total", centred.alias("ranks")), "ranks")
+    ranks = stored(ranked.select("place", "value", "n", "n_total", F.array(*flags).alias("met"), centred.alias("ranks")), "ranks")
 
     # turns: one for every two groups of classes, and in each the ranks of a column for the other group's classes
-    at_once = min(CLASSES, len(firsts))
     groups = range((len(firsts) - 1) // CLASSES + 1)
     turns = {pair: n for n, pair in enumerate((g, h) for g in groups for h in groups if g <= h)}
     own = [k // CLASSES for k in classes]
     parts = [[{"turn": turns[min(g, h), max(g, h)], "low": h * CLASSES} for h in groups] for g in own]
-    pairs: list = [[] for _ in turns]
-    for i, j in combinations(range(width), 2):
-        pairs[turns[min(own[i], own[j]), max(own[i], own[j])]].append(
-            {"left": i, "right": j, "at_left": i * at_once + classes[j] % CLASSES, "at_right": j * at_once + classes[i] % CLASSES})
-
-    long = rows.unpivot(["h1", "h2"], list(number), "feature", "value").where("value is not null")
-    place = F.substring("feature", 2, 9).cast("int")
-    placed = _with_ranks(long, ranks, width).select("h1", "h2", place.alias("place"), "ranks")
-    dealt = placed.select("h1", "h2", "place", "ranks", F.inline(F.get(_fixed(parts, "array<array<struct<turn:int,low:int>>>"), F.col("place"))))
-    cells = [F.max(F.when(F.col("place") == i, F.get("ranks", F.col("low") + k))).alias(f"r{i}_{k}")
-             for i in range(width) for k in range(at_once)]
-    wide = dealt.groupBy("h1", "h2", "turn").agg(F.count("*").alias("cells"), *cells)
-    present = sum((F.col(f"r{i}_0").isNotNull().cast("int") for i in range(width)), F.lit(0))
-    together = wide.select("turn", (F.col("cells") / present).alias("n"),
-                           F.array(*[f"r{i}_{k}" for i in range(width) for k in range(at_once)]).alias("numbers"))
-    sums = _pair_sums(together, F.get(_fixed(pairs, f"array<array<{PAIR}>>"), F.col("turn")))
+    meets = [[turns[min(own[i], own[j]), max(own[i], own[j])] for j in range(width)] for i in range(width)]
+    slot = _fixed([k % CLASSES for k in classes], "array<int>")
+
+    long = rows.select("row", cell).where("value is not null")
+    placed = _with_ranks(long, ranks.drop("met"), width)
+    dealt = placed.select("row", "place", "ranks", F.inline(F.get(_fixed(parts, "array<array<struct<turn:int,low:int>>>"), F.col("place"))))
+    dealt = dealt.select("row", "turn", "place", F.slice("ranks", F.col("low") + 1, CLASSES).alias("ranks"))
+    # dealt by row first: a list begun before the shuffle would hold one cell
+    gathered = dealt.repartition("row", "turn").groupBy("row", "turn").agg(F.collect_list(F.struct("place", "ranks")).alias("cells"))
+    one = gathered.select("turn", "cells", F.posexplode("cells").alias("at", "a"))
+    two = one.select("turn", "a", F.explode(F.slice("cells", F.col("at") + 2, width)).alias("b"))
+    if len(turns) > 1:
+        two = two.where(F.get(F.get(_fixed(meets, "array<array<int>>"), F.col("a.place")), F.col("b.place")) == F.col("turn"))
+    product = F.get("a.ranks", F.get(slot, F.col("b.place"))) * F.get("b.ranks", F.get(slot, F.col("a.place")))
+    products = two.groupBy(F.least("a.place", "b.place").alias("left"), F.greatest("a.place", "b.place").alias("right"))
+    products = products.agg(F.sum(product).alias("sxy"))
+
+    # sums over the rows two columns share, from the counts of a column's values in the rows of the other's class
+    facts = ranks.groupBy("place").agg(*[F.sum(F.get("met", F.lit(k))).alias(f"n{k}") for k in range(len(firsts))], *[
+        F.sum(F.get("met", F.lit(k)) * F.pow(F.get("ranks", F.lit(k)), 2)).alias(f"s{k}") for k in range(len(firsts))])
+    facts = facts.select("place", *[F.array(*[f"{s}{k}" for k in range(len(firsts))]).alias(s) for s in ("n", "s")])
+    left = small_side(facts.select(F.col("place").alias("left"), F.col("n").alias("ns"), F.col("s").alias("sl")), width)
+    right = small_side(facts.select(F.col("place").alias("right"), F.col("s").alias("sr")), width)
+    of = _fixed(classes, "array<int>")
+    at_left, at_right = F.get(of, F.col("right")), F.get(of, F.col("left"))
+    sums = products.join(left, "left").join(right, "right").select(
+        "left", "right", F.get("ns", at_left).alias("n"), F.lit(0.0).alias("sx"), F.lit(0.0).alias("sy"),
+        F.get("sl", at_left).alias("sxx"), F.get("sr", at_right).alias("syy"), "sxy")
     return _coefficients(sums, columns)
