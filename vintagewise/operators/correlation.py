@@ -17,7 +17,7 @@ from .joins import small_side
 from .ordering import running_counts
 
 # presence classes whose ranks a row carries at once; further classes take turns
-CLASSES = 8
+CLASSES = 64
 PAIR = "struct<left:int,right:int,at_left:int,at_right:int>"
 
 
@@ -116,8 +116,9 @@ def spearman_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     counted = rows.select(*flagged, cell).where("value is not null")
     counts = counted.groupBy("place", "value").agg(F.count("*").alias("n"), *[F.sum(f).alias(f) for f in flags])
     ranked = running_counts(counts, "value", ["n", *flags], ["place"], width)
-    # rank from 1 less its mean (total + 1) / 2
-    centred = F.array(*[F.col(f"{f}_before") + (F.col(f) - F.col(f"{f}_total")) / 2 for f in flags])
+    # twice the rank from 1 less its mean (total + 1) / 2: whole numbers up to the number of rows
+    kind = "int" if rows.count() < 1 << 31 else "bigint"
+    centred = F.array(*[(2 * F.col(f"{f}_before") + F.col(f) - F.col(f"{f}_total")).cast(kind) for f in flags])
     ranks = stored(ranked.select("place", "value", "n", "n_total", F.array(*flags).alias("met"), centred.alias("ranks")), "ranks")
 
     # turns: one for every two groups of classes, and in each the ranks of a column for the other group's classes
@@ -138,7 +139,7 @@ def spearman_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     two = one.select("turn", "a", F.explode(F.slice("cells", F.col("at") + 2, width)).alias("b"))
     if len(turns) > 1:
         two = two.where(F.get(F.get(_fixed(meets, "array<array<int>>"), F.col("a.place")), F.col("b.place")) == F.col("turn"))
-    product = F.get("a.ranks", F.get(slot, F.col("b.place"))) * F.get("b.ranks", F.get(slot, F.col("a.place")))
+    product = F.get("a.ranks", F.get(slot, F.col("b.place"))).cast("double") * F.get("b.ranks", F.get(slot, F.col("a.place")))
     products = two.groupBy(F.least("a.place", "b.place").alias("left"), F.greatest("a.place", "b.place").alias("right"))
     products = products.agg(F.sum(product).alias("sxy"))
 
