@@ -1,5 +1,6 @@
 """Each operator against a plain version on odd texts, on repeated rows, and on an empty table."""
 
+import functools
 import hashlib
 import math
 import random
@@ -205,28 +206,79 @@ def test_context_tree_of_nothing(nothing):
     assert ctw.score(nothing, F.lit(False)).count() == 0
 
 
-def test_context_tree_weights_are_the_recursion():
-    rng = np.random.default_rng(1)
-    zeros, ones = rng.integers(0, 5, 8) * rng.integers(0, 2, 8), rng.integers(0, 5, 8)
-    estimate = lambda a, b: math.exp(math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.lgamma(a + b + 1)) / math.pi
-
-    def weighted(a, b):
-        own = estimate(sum(a), sum(b))
-        half = len(a) // 2
-        return own if not half else own / 2 + weighted(a[:half], b[:half]) * weighted(a[half:], b[half:]) / 2
-
-    found = ctw.weigh(zeros, ones)
-    for c in range(8):
-        more = ones.copy()
-        more[c] += 1
-        assert found[c] == pytest.approx(weighted(list(zeros), list(more)) / weighted(list(zeros), list(ones)))
-
-
-def test_context_tree_table_sums_to_one(spark):
-    df = spark.createDataFrame([("the cat sat on the mat " * 20,)], "text string")
-    row, table = ctw.fit(ctw.counts(df))
-    assert row.size == 1 << ctw.DEPTH and len(table) < 200
-    assert np.allclose((10.0 ** table.astype(float)).sum(1), 1, atol=1e-3)
+def plain_tree(learnt, text, depth=5):
+    """log10 probability of the text by the recursion: the weight of the root with one more decision, over that without."""
+    counts, children = Counter(), {}
+
+    def steps(spelled):
+        for i, byte in enumerate(spelled):
+            context = (b"\n" * depth + spelled)[i:i + depth][::-1]
+            for level in range(8):
+                yield 1 << level | byte >> 8 - level, context, byte >> 7 - level & 1
+
+    for t in learnt:
+        for node, context, bit in steps(t):
+            for d in range(depth + 1):
+                counts[node, context[:d], bit] += 1
+                if d:
+                    children.setdefault((node, context[:d - 1]), set()).add(context[:d])
+
+    def own(node, context, more=(0, 0)):
+        a, b = counts[node, context, 0] + more[0], counts[node, context, 1] + more[1]
+        return math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.lgamma(a + b + 1) - math.log(math.pi)
+
+    @functools.cache
+    def below(node, context):
+        return sum(weight(node, c) for c in children.get((node, context), ()))
+
+    @functools.cache
+    def weight(node, context):
+        if len(context) == depth:
+            return own(node, context)
+        return np.logaddexp(own(node, context), below(node, context)) - math.log(2)
+
+    def told(node, context, bit, d=0):
+        mine = own(node, context[:d], (1 - bit, bit))
+        if d == depth:
+            return mine
+        rest = below(node, context[:d]) - weight(node, context[:d + 1])
+        return np.logaddexp(mine, rest + told(node, context, bit, d + 1)) - math.log(2)
+
+    return sum(told(*step) - weight(step[0], b"") for step in steps(text)) / math.log(10)
+
+
+@pytest.mark.parametrize("strings, group", [(0, 8), (20, 1), (1 << 20, 1 << 16)])
+def test_context_tree_scores_are_the_recursion_over_bytes(spark, strings, group):
+    texts = ["call 1500 then 1600", "call 2500 then  2600 ok", "call 1500 then 1600", None, "", "Größe ΑΣ größe αβ", "call 1501 then 2600",
+             "one more 日本語", "call 1500 now"]
+    rows = [*enumerate(texts), (0, texts[0]), (None, "call 15")]
+    out = lambda i: i in (6, 7, 8)
+    learnt = [ctw.spelled((t or "").encode()) for i, t in rows if not out(i)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    scores = ctw.score(df, F.coalesce(F.col("doc_id"), F.lit(0)).isin(6, 7, 8), strings=strings, group=group).collect()
+    assert len(scores) == len(rows)
+    by_id = dict(rows)
+    for r in scores:
+        assert r.held_out == out(r.doc_id)
+        assert r.score == pytest.approx(plain_tree(learnt, ctw.spelled((by_id[r.doc_id] or "").encode())), rel=1e-9)
+
+
+def test_context_tree_tells_five_bytes_back_and_sums_to_one(spark):
+    learnt = [(0, f"{d}abcd{d} " * 40) for d in "0123456789é"]
+    asked = [(1, "7abcd7"), (1, "7abcd8")]
+    rows = ctw.score(spark.createDataFrame(learnt + asked, "doc_id int, text string"), F.col("doc_id") == 1).where("held_out").collect()
+    seven, eight = sorted((r.score for r in rows), reverse=True)
+    assert seven - eight > 1  # merged classes told all digits alike
+    cell = np.sort(ctw.cells([b"abcdefg\n"]))[:1] >> 8 << 8 | np.arange(256)
+    n = np.arange(256) % 7
+    total = np.zeros(256)
+    for level in range(8):
+        code, zeros, ones, place, bit = ctw._decisions(cell, n, level)
+        levels = ctw.climb(code, zeros, ones, ctw._estimate(zeros, ones), ctw.DEPTH)[4]
+        going, found = ctw.descend(levels, np.ones(code.size), np.zeros(code.size))
+        one = (found + going * (ones + 0.5) / (zeros + ones + 1))[place]
+        total += np.log(np.where(bit == 1, one, 1 - one))
+    assert np.exp(total).sum() == pytest.approx(1)
 
 
 def test_warc_round_trip(spark):

@@ -23,6 +23,7 @@ def word_hashes(texts: Sequence[bytes]) -> Iterator[np.ndarray]:
     number.default_factory = number.__len__
     places = [np.fromiter(map(number.__getitem__, text.lower().split()), np.int64) for text in texts]
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, number), np.uint64, len(number))
+    number.default_factory = None  # it holds the dictionary itself, which would wait for the garbage collector
     return (hashes[place] for place in places)
 
 
