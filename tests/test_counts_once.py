@@ -4,7 +4,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from vintagewise.operators import drift, profile
+from vintagewise.operators import drift, performance, profile
 
 ODD = [("x", 1.0), ("x", 2.0), ("x", 2.0), ("x", None), ("flat", 0.1), ("flat", 0.1), ("flat", 0.1), ("one", 7.0), ("never", None),
        ("far", 1e9), ("far", 1e9 + 1), ("far", 1e9 + 2), ("open", float("inf")), ("open", 1.0), (None, 3.0), (None, 5.0)]
@@ -45,3 +45,10 @@ def test_drift_goes_through_the_rows_once(spark, tmp_path):
     row = out.first()
     assert (row.n, row.status, row.psi) == (50, "ok", 0.0) and math.isclose(row.missing_rate_act, 1 / 51)
     assert math.isclose(row.mean_act, sum(i % 7 for i in range(50)) / 50) and row.smd_mean == 0
+
+
+def test_signal_goes_through_the_rows_once(spark, tmp_path):
+    rows = [("x", 1.0, 0), ("x", 2.0, 0), ("x", 3.0, 1), ("x", None, 1), ("y", 1.0, None), ("y", 1.0, 1), ("y", 1.0, 0)]
+    out = performance.feature_signal(kept(spark, tmp_path, rows, "feature string, value double, label int"), "label")
+    assert not reads_rows(out)
+    assert {tuple(r) for r in out.collect()} == {("x", 1, 2, 1.0), ("y", 1, 1, 0.0)}
