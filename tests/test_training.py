@@ -1,4 +1,5 @@
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from vintagewise.operators import drift
@@ -65,6 +66,31 @@ def test_small_search(trained):
     assert mean_auc > 0.9 and settings["maxIter"] == 2 and best.getMaxDepth() == settings["maxDepth"]
 
 
+def test_search_fits_on_few_parts(spark, monkeypatch):
+    """A fold of few rows is few tasks to every job of a fit, however many parts a shuffle has."""
+    seen = []
+
+    def fit(validator, dataset):
+        fold = dataset.where("fold = 0").cache()
+        seen.append((fold.rdd.getNumPartitions(), dataset.count()))
+        fold.unpersist()
+        raise InterruptedError
+
+    monkeypatch.setattr(training.CrossValidator, "fit", fit)
+    train = spark.range(400).select(F.concat(F.lit("C"), F.col("id") % 90).alias("Customer_ID"), (F.col("id") % 3 == 0).cast("int").alias("label"),
+                                    array_to_vector(F.array(F.col("id").cast("double"))).alias("features"))
+    kept = {name: spark.conf.get(name) for name in ("spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.shuffle.partitions", 60)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        with pytest.raises(InterruptedError):
+            training.random_search(train)
+    finally:
+        for name, value in kept.items():
+            spark.conf.set(name, value)
+    assert seen[0][0] <= 8 and seen[0][1] == 400
+
+
 def test_labels_without_features_fail(spark):
     labels, features = build(spark)
     with pytest.raises(ContractError, match="without features"):

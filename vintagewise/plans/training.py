@@ -21,7 +21,7 @@ from ..operators.guards import ContractError, repeated_keys, require_empty, requ
 from ..operators.history import cumulative_share
 from ..operators.joins import attach_features, unmatched_labels
 from ..operators.profile import long_numbers, long_texts, numeric_columns, other_columns
-from ..session import cut_lineage
+from ..session import cut_lineage, stored
 from ..sources.store import missing_months, month_spine, write_months, write_partitions
 from .compiled import CompiledModel, from_pipeline, score_models
 
@@ -106,14 +106,18 @@ def search_draws(space: Mapping[str, Sequence], draws: int, seed: int) -> list[d
 def random_search(train: DataFrame, group: str = "Customer_ID", space: Mapping[str, Sequence] = S.SEARCH_SPACE,
                   draws: int = S.SEARCH_DRAWS, folds: int = S.SEARCH_FOLDS, seed: int = S.SEARCH_SEED,
                   parallelism: int = 4):
-    """Best classifier by mean AUC over customer-grouped folds; returns (model, settings, mean AUC)."""
+    """Best classifier by mean AUC over customer-grouped folds; returns (model, settings, mean AUC).
+
+    The folds are written first: every tree level of every fit is a job over its fold, which would otherwise have a task
+    for each shuffle partition however few rows there are. Read back, its parts grow with its size.
+    """
     gbt = classifier()
     settings = search_draws(space, draws, seed)
     grid = [{gbt.getParam(name): value for name, value in chosen.items()} for chosen in settings]
     validator = CrossValidator(
         estimator=gbt, estimatorParamMaps=grid, numFolds=folds, foldCol="fold", parallelism=parallelism,
         evaluator=BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC", numBins=0))
-    folded = splits.group_folds(train.select(group, "label", "features"), group, "label", folds)
+    folded = stored(splits.group_folds(train.select(group, "label", "features"), group, "label", folds), "folds")
     fitted = validator.fit(folded)
     best = max(range(len(grid)), key=lambda i: fitted.avgMetrics[i])
     return fitted.bestModel, settings[best], fitted.avgMetrics[best]
