@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -246,3 +247,28 @@ def test_pieces_of_nothing_and_of_clashing_columns(spark, nothing):
     assert piece_bpe.decode(piece_bpe.encode(nothing, PATH), PATH).count() == 0
     with pytest.raises(ValueError, match="ids"):
         piece_bpe.encode(nothing.withColumn("ids", F.lit(1)), PATH)
+
+
+@pytest.mark.parametrize("least", [1, 10, 300])
+def test_packed_cells_are_counted_whole(least):
+    """Counts travel in two bytes for a cell (three for high counts); their sums decide as plain sums do."""
+    rng, bits = np.random.default_rng(least), 17
+    dealt = [rng.integers(0, 1 << bits, 40_000), rng.integers(0, 300, 40_000), np.array([0, 511, 512, 1 << 16, (1 << bits) - 1] * 400),
+             np.zeros(0, np.int64)]
+    packed = [collocations._packed_counts([cells.astype(np.uint32)], bits, least) for cells in dealt]
+    for cells, batch in zip(dealt, packed, strict=True):
+        parts = np.unique(cells >> bits - collocations.PART_BITS).size
+        assert batch.num_rows == parts and sum(len(g) for g in batch.column("gaps").to_pylist()) <= np.unique(cells).size + 3 * parts
+    rows = pa.Table.from_batches(packed).sort_by("part")
+    got = np.zeros(1 << bits, bool)
+    for batch in collocations._frequent_cells(iter(rows.to_batches(max_chunksize=7)), bits, least):
+        for part, words in zip(batch.column("part").to_pylist(), batch.column("words").to_pylist(), strict=True):
+            got.reshape(1 << collocations.PART_BITS, -1)[part] = np.unpackbits(np.frombuffer(words, np.uint8), bitorder="little")
+    assert (got == (np.bincount(np.concatenate(dealt), minlength=1 << bits) >= least)).all()
+
+
+def test_candidates_as_one_number():
+    numbers = np.array([3, 1, 2, 3, 1, 2, 0, (1 << collocations.PLACE) - 1, 1, 2])
+    keys = collocations._keys(numbers, np.array([0, 3, 7]), 3)
+    parts = [[int(k) >> collocations.PLACE * i & (1 << collocations.PLACE) - 1 for i in range(3)] for k in keys]
+    assert sorted(parts) == sorted(collocations._distinct(numbers, np.array([0, 3, 7]), 3)) == [[3, 1, 2], [(1 << 21) - 1, 1, 2]]
